@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def group_percentiles(
@@ -23,11 +25,17 @@ def group_percentiles(
     buckets = buckets.select(
         *keys, "_bucket",
         F.coalesce(F.sum("_bn").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+        "_bn",
         F.sum("_bn").over(Window.partitionBy(*keys)).alias("_total"),
     )
-    # Only the buckets that hold a wanted position go on.
     lows = {name: F.floor(F.lit(p) * (F.col("_total") - 1)) for name, p in probabilities.items()}
     highs = {name: F.ceil(F.lit(p) * (F.col("_total") - 1)) for name, p in probabilities.items()}
+    # Only the buckets that hold a wanted position go on: at most two per percentile and group.
+    wanted = reduce(Column.__or__, (
+        (position >= F.col("_start")) & (position < F.col("_start") + F.col("_bn"))
+        for position in (*lows.values(), *highs.values())
+    ))
+    buckets = buckets.filter(wanted).drop("_bn")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
     placed = values.join(buckets, [*keys, "_bucket"]).withColumn("_last", F.col("_start") + F.sum("_n").over(inside))
     first = F.col("_last") - F.col("_n")
