@@ -82,6 +82,11 @@ def probe_ranks(probes: DataFrame, facts: DataFrame, group: str | None, value: s
         seen.select(*keys, passed.alias("_above")).filter("_above > 0")
         .groupBy(*keys, "_above").agg(F.count("*").alias("_n"))
     )
+    return ranks_from_counters(bounds, counters, keys, value, rank)
+
+
+def ranks_from_counters(bounds: DataFrame, counters: DataFrame, keys: list[str], value: str, rank: str) -> DataFrame:
+    """Ranks of the sorted probe values `_cuts` from the numbers `_n` of facts exceeding `_above` of them."""
     slots = bounds.select(*keys, F.posexplode("_cuts").alias("_slot", value)).withColumn("_above", F.col("_slot") + 1)
     upward = Window.partitionBy(*keys).orderBy(F.desc("_slot"))
     return (

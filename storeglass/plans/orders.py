@@ -147,7 +147,7 @@ def month_totals(t, year: int, month: int, form: str = "range") -> DataFrame:
 PAGE_COLUMNS = ["order_id", "user_id", "order_date", "total_amount", "status"]
 
 
-def orders_page_offset(t, page: int, limit: int = 20, direct: int = 1_000_000) -> DataFrame:
+def orders_page_offset(t, page: int, limit: int = 20, direct: int = 100_000) -> DataFrame:
     """Orders page by offset. Beyond `direct` skipped rows the page is cut out of distributed positions, as the
     skipped rows of an ordered offset would all pass through one task."""
     skip = (page - 1) * limit
