@@ -165,7 +165,7 @@ def string_profile(t, year_text: str = "2024") -> DataFrame:
         F.sum(F.substring(F.col("order_id").cast("string"), 1, 3).cast("int")).alias("id_prefix"),
         count_if(F.col("created_at").cast("string").contains(year_text)).alias("year_count"),
         F.max(F.length("name")).alias("name_length"),
-        F.min(F.col("created_at").cast("timestamp").cast("double")).alias("first_seen"),
+        F.min(seconds_between(at("1970-01-01"), F.col("created_at"))).alias("first_seen"),
         count_if(price_text.rlike(r"^[0-9]+\.[0-9]{2}$")).alias("exact_prices"),
     )
     vowel_length = F.when(F.col("category").rlike("[aeiou]"), F.length("category")).otherwise(0)
