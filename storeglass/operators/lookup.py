@@ -10,7 +10,7 @@ SALTS = 8
 
 def planned_bytes(df: DataFrame) -> int:
     """Size estimate of the optimised plan (files read x columns kept); runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
