@@ -43,7 +43,7 @@ def compare(spark, con, name: str, root: str, sql: str | None):
 def main() -> int:
     root = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     parts = sys.argv[2:]
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(root), oracles.oracle_sql(), 0
     for name in registry.queries():

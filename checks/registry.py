@@ -76,8 +76,8 @@ def _place(spark: SparkSession) -> str:
 
 
 def _stream(spark: SparkSession, root: str) -> DataFrame:
-    """The event files as a stream of decoded events with a timestamp."""
-    raw = spark.readStream.schema(STAR["events"]).parquet(f"{root.rstrip('/')}/events.parquet")
+    """The event file as a stream of decoded events with a timestamp (a stream reads a single file by a glob only)."""
+    raw = spark.readStream.schema(STAR["events"]).parquet(f"{root.rstrip('/')}/event[s].parquet")
     t = StarTables(spark, root)
     t._read = lambda name: raw
     return t.events.withColumn("timestamp", F.col("ts").cast("timestamp"))
@@ -119,7 +119,7 @@ def stream_cart(spark: SparkSession, root: str) -> DataFrame:
 
 def stream_log(spark: SparkSession, root: str) -> DataFrame:
     place = _place(spark)
-    raw = spark.readStream.schema(STAR["events"]).parquet(f"{root.rstrip('/')}/events.parquet")
+    raw = spark.readStream.schema(STAR["events"]).parquet(f"{root.rstrip('/')}/event[s].parquet")
     t = StarTables(spark, root)
     t._read = lambda name: raw
     jobs.ingest_log(t.sql_log, f"{place}/out", f"{place}/state").awaitTermination()

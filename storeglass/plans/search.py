@@ -71,11 +71,15 @@ def _term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
         out = out.withColumn(f"_{field}_words", tokens(text))
     for field in FIELD_BOOSTS:
         words = F.col(f"_{field}_words")
-        occurs = [F.size(F.filter(words, lambda w, term=term: w == F.lit(term))).alias(f"tf{i}") for i, term in enumerate(terms)]
+        occurs = [_occurrences(words, term).alias(f"tf{i}") for i, term in enumerate(terms)]
         out = out.withColumn(f"_{field}", F.struct(F.size(words).alias("len"), *occurs))
     return out.drop(*(f"_{field}_words" for field in FIELD_BOOSTS))
 
 
+def _occurrences(words: Column, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == F.lit(term)))
+
+
 def _field_score(field: str, n_terms: int) -> Column:
     length = F.col(f"_{field}.len") / F.col(f"_stats.{field}_len")
     score = F.lit(0.0)
