@@ -146,10 +146,10 @@ def _customers(spent: str, mean: str, limit: int) -> str:
 
 def _search(where: str, offset: int) -> str:
     """BM25 per field with the better field; `tags` holds the language, `name` the first 40 characters."""
-    words = lambda text: f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), w -> w <> '')"
+    words = lambda text: f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
     fields = {"name": (words("text[1:40]"), 2.0), "descr": (words("text"), 1.0), "tag": (words("lang"), 1.0)}
     terms = ["the", "on", "réa"]
-    tf = ", ".join(f"len(list_filter({f}, w -> w = '{t}')) AS {f}_{i}" for f in fields for i, t in enumerate(terms))
+    tf = ", ".join(f"len(list_filter({f}, lambda w: w = '{t}')) AS {f}_{i}" for f in fields for i, t in enumerate(terms))
     n = ", ".join(f"count(*) FILTER (len({f}) > 0) AS {f}_n, avg(len({f})) FILTER (len({f}) > 0) AS {f}_avg" for f in fields)
     df = ", ".join(f"count(*) FILTER ({f}_{i} > 0) AS {f}_df{i}" for f in fields for i in range(len(terms)))
     one = lambda f, i: (

@@ -56,11 +56,11 @@ def cart_in_two_steps(t) -> DataFrame:
 
 
 def documents(t) -> DataFrame:
-    return etl.order_documents(t, as_of=AS_OF)
+    return etl.order_documents(t, as_of=AS_OF, lists=False)
 
 
 def document_rows(t) -> DataFrame:
-    d = documents(t)
+    d = etl.order_documents(t, as_of=AS_OF)
     items = F.array_join(F.transform("items", lambda i: F.concat_ws(
         ":", i["product_id"].cast("string"), i["product_name"], i["category"], i["brand"], i["quantity"].cast("string"))), "|")
     return d.drop("etl_timestamp").withColumn("items", items)

@@ -9,11 +9,12 @@ from storeglass.operators.lookup import lookup_join
 from storeglass.sources.lake import extract_since
 
 
-def order_documents(t, hwm=None, as_of=None) -> DataFrame:
+def order_documents(t, hwm=None, as_of=None, lists: bool = True) -> DataFrame:
     """Documents of the orders created or changed after the mark `hwm`; all orders without a mark.
 
     Names are joined to the product table before it meets the lines. Lines of unknown products and orders without any
-    line or without a known user give no entry, as the inner joins of the extract want it.
+    line or without a known user give no entry, as the inner joins of the extract want it. Without `lists` the item
+    lists are left out, which is enough for the charts.
     """
     orders = extract_since(t.orders, hwm)
     named = (
@@ -26,8 +27,18 @@ def order_documents(t, hwm=None, as_of=None) -> DataFrame:
     if hwm is not None:
         lines = lines.join(orders.select("order_id"), "order_id", "left_semi")
     item = F.struct("order_item_id", "product_id", "product_name", "category", "brand", "quantity", "unit_price", "total_price")
-    items = lookup_join(lines, named, "product_id", spread_by="order_id").groupBy("order_id").agg(
-        F.array_sort(F.collect_list(item)).alias("items"))
+    joined = lookup_join(lines, named, "product_id", spread_by="order_id")
+    sums = [F.count("*").cast("int").alias("items_count"), F.sum("quantity").alias("total_quantity")]
+    if lists:
+        values = lambda name: F.array_sort(F.array_distinct(F.transform("items", lambda i: i[name])))
+        items = joined.groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("items"), *sums).withColumns(
+            {"categories": values("category"), "brands": values("brand")})
+        nested = [F.transform("items", lambda i: i.dropFields("order_item_id")).alias("items")]
+    else:
+        values = lambda name: F.array_sort(F.collect_set(name))
+        items = joined.groupBy("order_id").agg(
+            *sums, values("category").alias("categories"), values("brand").alias("brands"))
+        nested = []
     users = t.users.select("user_id", F.col("name").alias("user_name"), F.col("email").alias("user_email"))
     loaded = at(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     return (
@@ -36,11 +47,7 @@ def order_documents(t, hwm=None, as_of=None) -> DataFrame:
             "order_id", "user_id", "user_name", "user_email", "order_date", "status",
             F.col("total_amount").cast("double").alias("total_amount"), "shipping_address", "payment_method",
             "created_at", "updated_at",
-            F.transform("items", lambda i: i.dropFields("order_item_id")).alias("items"),
-            F.size("items").alias("items_count"),
-            F.aggregate("items", F.lit(0).cast("bigint"), lambda total, i: total + i["quantity"]).alias("total_quantity"),
-            F.array_sort(F.array_distinct(F.transform("items", lambda i: i["category"]))).alias("categories"),
-            F.array_sort(F.array_distinct(F.transform("items", lambda i: i["brand"]))).alias("brands"),
+            *nested, "items_count", "total_quantity", "categories", "brands",
             loaded.alias("etl_timestamp"), F.lit("postgresql").alias("etl_source"),
         )
     )

@@ -29,7 +29,8 @@ def affinity_recommendations(events: DataFrame, n: int = 10, users: DataFrame |
     # At most n entries per user.
     entry = F.struct("rank", "product_id", exact_round(F.least(F.lit(5.0), F.col("weight") / 2), 2).alias("score"))
     lists = own.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("own"))
-    popular = per_pair.groupBy("product_id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "product_id").limit(n)
+    # A second scan of one column that combines map-side; sharing the pairs would keep both measures in the big shuffle.
+    popular = events.groupBy("product_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "product_id").limit(n)
     ranked = F.struct((-F.col("n")).alias("k"), F.col("product_id").alias("product_id"), F.col("n").alias("n"))
     top = popular.agg(F.array_sort(F.collect_list(ranked))).scalar()
     if users is not None:

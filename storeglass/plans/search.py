@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from storeglass.functions.exprs import all_of
+from storeglass.functions.exprs import all_of, count_if
 
 # Term saturation and length normalisation of BM25 (Robertson & Zaragoza 2009), boosts of the fields.
 K1, B = 1.2, 0.75
@@ -29,8 +30,8 @@ def search_products(
 ) -> DataFrame:
     """One page of products by relevance, with the number of all hits.
 
-    Two map-only passes: the first sums document frequencies and field lengths to one row, the second scores. Postings
-    are never exploded or shuffled. Without a query every product matches with score 1.
+    Two map-only passes: the first sums document frequencies, field lengths and hits to one row, the second scores.
+    Postings are never exploded or shuffled. Without a query every product matches with score 1.
     """
     wanted = all_of(
         None if not category else F.col("category") == F.lit(category),
@@ -38,53 +39,64 @@ def search_products(
         None if min_price is None else F.col("price") >= F.lit(min_price),
         None if max_price is None else F.col("price") <= F.lit(max_price),
     )
-    columns = docs.columns
-    terms = query_terms(q)
+    columns, terms = docs.columns, query_terms(q)
     if not q:
-        hits = docs.filter(wanted).withColumn("relevance_score", F.lit(1.0))
+        found = docs.filter(wanted)
+        hits, total = found.withColumn("relevance_score", F.lit(1.0)), found.agg(F.count("*")).scalar()
     elif not terms:
-        hits = docs.filter(F.lit(False)).withColumn("relevance_score", F.lit(0.0))
+        hits, total = docs.filter(F.lit(False)).withColumn("relevance_score", F.lit(0.0)), F.lit(0).cast("bigint")
     else:
-        counted = _term_counts(docs, terms)
-        stats = counted.agg(F.struct(
-            F.count("*").alias("docs"),
-            *(F.avg(F.when(F.col(f"_{f}.len") > 0, F.col(f"_{f}.len"))).alias(f"{f}_len") for f in FIELD_BOOSTS),
-            *(F.sum(F.when(F.col(f"_{f}.len") > 0, 1).otherwise(0)).alias(f"{f}_docs") for f in FIELD_BOOSTS),
-            *(F.sum(F.when(F.col(f"_{f}.tf{i}") > 0, 1).otherwise(0)).alias(f"{f}_df{i}")
-              for f in FIELD_BOOSTS for i in range(len(terms))),
+        lengths = lambda f: F.when(F.col(f"_{f}_len") > 0, F.col(f"_{f}_len"))
+        stats = _count_terms(docs, terms).agg(F.struct(
+            *(F.avg(lengths(f)).alias(f"{f}_len") for f in FIELD_BOOSTS),
+            *(F.count(lengths(f)).alias(f"{f}_docs") for f in FIELD_BOOSTS),
+            *(count_if(F.col(f"_{f}_tf")[i] > 0).alias(f"{f}_df{i}") for f in FIELD_BOOSTS for i in range(len(terms))),
+            count_if(wanted & _any_term()).alias("hits"),
         ).alias("stats")).scalar()
-        scored = counted.filter(wanted).withColumn("_stats", stats)
+        # A word of the query has to be somewhere in a text before that text is worth splitting into words.
+        lowered = [F.lower(_text(f)) for f in FIELD_BOOSTS]
+        candidates = docs.filter(wanted & reduce(Column.__or__, (text.contains(term) for text in lowered for term in terms)))
+        scored = _count_terms(candidates, terms).withColumn("_stats", stats)
         fields = [_field_score(f, len(terms)) * F.lit(boost) for f, boost in FIELD_BOOSTS.items()]
-        hits = scored.withColumn("relevance_score", F.greatest(*fields)).filter(F.col("relevance_score") > 0)
-    total = hits.agg(F.count("*")).scalar()
+        hits, total = scored.withColumn("relevance_score", F.greatest(*fields)), F.coalesce(stats["hits"], F.lit(0))
+    # Misses score 0 and come last. They are dropped from the page only, as a filter before it would be pushed into the
+    # scan side and count all words a second time.
     return (
         hits.select(*columns, "relevance_score").orderBy(F.desc("relevance_score"), F.asc("product_id"))
-        .offset((page - 1) * size).limit(size).withColumn("total_count", total)
+        .offset((page - 1) * size).limit(size).filter(F.col("relevance_score") > 0).withColumn("total_count", total)
     )
 
 
-def _term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """Per field the number of words and how often each query term occurs."""
-    out = docs
-    for field in FIELD_BOOSTS:
-        text = F.concat_ws(" ", field) if field == "tags" else F.coalesce(F.col(field), F.lit(""))
-        out = out.withColumn(f"_{field}_words", tokens(text))
-    for field in FIELD_BOOSTS:
-        words = F.col(f"_{field}_words")
-        occurs = [_occurrences(words, term).alias(f"tf{i}") for i, term in enumerate(terms)]
-        out = out.withColumn(f"_{field}", F.struct(F.size(words).alias("len"), *occurs))
-    return out.drop(*(f"_{field}_words" for field in FIELD_BOOSTS))
+def _text(field: str) -> Column:
+    return F.concat_ws(" ", field) if field == "tags" else F.coalesce(F.col(field), F.lit(""))
 
 
-def _occurrences(words: Column, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == F.lit(term)))
+def _count_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
+    """Per field the number of words and how often each query term occurs.
+
+    The counts are one array per field: an array built by a function is evaluated once per row, where a struct of
+    separate counts would be taken apart and its word splitting repeated for every use.
+    """
+    split = docs.withColumns({f"_{f}_words": tokens(_text(f)) for f in FIELD_BOOSTS})
+    wanted = F.array(*map(F.lit, terms))
+    counts = {f"_{f}_len": F.size(f"_{f}_words") for f in FIELD_BOOSTS} | {
+        f"_{f}_tf": F.transform(wanted, _occurrences(f"_{f}_words")) for f in FIELD_BOOSTS}
+    return split.withColumns(counts).drop(*(f"_{f}_words" for f in FIELD_BOOSTS))
+
+
+def _occurrences(words: str):
+    return lambda term: F.size(F.filter(words, lambda w: w == term))
+
+
+def _any_term() -> Column:
+    return reduce(Column.__or__, (F.exists(f"_{f}_tf", lambda n: n > 0) for f in FIELD_BOOSTS))
 
 
 def _field_score(field: str, n_terms: int) -> Column:
-    length = F.col(f"_{field}.len") / F.col(f"_stats.{field}_len")
+    length = F.col(f"_{field}_len") / F.col(f"_stats.{field}_len")
     score = F.lit(0.0)
     for i in range(n_terms):
-        tf, df = F.col(f"_{field}.tf{i}"), F.col(f"_stats.{field}_df{i}")
+        tf, df = F.col(f"_{field}_tf")[i], F.col(f"_stats.{field}_df{i}")
         idf = F.log(1 + (F.col(f"_stats.{field}_docs") - df + 0.5) / (df + 0.5))
         score = score + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))).otherwise(F.lit(0.0))
     return score

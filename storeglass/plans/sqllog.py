@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from storeglass.functions.exprs import at
+from storeglass.operators.materialize import materialize
 
 # Line prefix -> log type, limits in milliseconds, statement keywords in order of precedence.
 LOG_TYPES = {
@@ -15,6 +18,10 @@ KEYWORDS = ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE")
 STEPS = (1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400)
 
 
+def epoch() -> Column:
+    return at("1970-01-01")
+
+
 def parse_sql_log(lines: DataFrame, trim: bool = False) -> DataFrame:
     """Log lines -> typed columns. Works on batches and streams alike.
 
@@ -66,20 +73,22 @@ def log_by_category(log: DataFrame, n: int = 5) -> DataFrame:
 
 
 def log_time_trend(log: DataFrame, buckets: int = 100) -> DataFrame:
-    """Average time per interval; the step is the smallest one that needs at most `buckets` intervals for the span."""
-    timed = log.filter(F.col("execution_time_ms").isNotNull())
-    seconds = F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                       F.col("log_timestamp")) / 1_000_000)
+    """Average time per interval; the step is the smallest one that needs at most `buckets` intervals for the span.
+
+    The log is read once: sums per second are kept (one row per second of the span), the step is chosen from them.
+    """
+    second = F.floor(F.timestamp_diff("MICROSECOND", epoch(), F.col("log_timestamp")) / 1_000_000)
+    seconds = materialize(
+        log.filter(F.col("execution_time_ms").isNotNull()).groupBy(second.alias("_second"))
+        .agg(F.sum("execution_time_ms").alias("_sum"), F.count("*").alias("_n")))
     spread = F.max("_second") - F.min("_second")
     step = F.lit(STEPS[-1])
     for size in reversed(STEPS):
         step = F.when(spread <= F.lit(size * buckets), F.lit(size)).otherwise(step)
-    timed = timed.select(seconds.alias("_second"), "execution_time_ms")
-    chosen = timed.withColumn("_step", timed.agg(step).scalar())
+    chosen = seconds.withColumn("_step", seconds.agg(step).scalar())
     start = F.floor(F.col("_second") / F.col("_step")) * F.col("_step")
-    return chosen.groupBy(start.alias("_start")).agg(F.avg("execution_time_ms").alias("avg_ms")).select(
-        (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("_start"))).alias("bucket"),
-        "avg_ms").orderBy("bucket")
+    return chosen.groupBy(start.alias("_start")).agg((F.sum("_sum") / F.sum("_n")).alias("avg_ms")).select(
+        (epoch() + F.make_dt_interval(secs=F.col("_start"))).alias("bucket"), "avg_ms").orderBy("bucket")
 
 
 def log_by_type(log: DataFrame, n: int = 10, only_queries: bool = False) -> DataFrame:
@@ -98,9 +107,11 @@ def slowest_statements(log: DataFrame, n: int = 10) -> DataFrame:
 
 def statement_latency(log: DataFrame) -> DataFrame:
     """Latency per statement against the mean of the statement means; the fastest and the slowest are marked."""
-    per_statement = log.filter(F.col("execution_time_ms").isNotNull() & F.col("sql_query").isNotNull()).groupBy(
-        "sql_query").agg(F.avg("execution_time_ms").alias("avg_ms"), F.min("execution_time_ms").alias("min_ms"),
-                         F.max("execution_time_ms").alias("max_ms"), F.count("*").alias("n"))
+    # Written once per statement, so that the log is not read again for the means.
+    per_statement = materialize(
+        log.filter(F.col("execution_time_ms").isNotNull() & F.col("sql_query").isNotNull()).groupBy("sql_query").agg(
+            F.avg("execution_time_ms").alias("avg_ms"), F.min("execution_time_ms").alias("min_ms"),
+            F.max("execution_time_ms").alias("max_ms"), F.count("*").alias("n")))
     # Three values in one row; among equal means the smaller statement text wins.
     mark = per_statement.agg(F.struct(
         F.avg("avg_ms").alias("mean"),
