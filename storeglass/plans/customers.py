@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from storeglass.functions.exprs import (
     SOLD, SOLD_OR_COMPLETED, at, count_if, days_before, exact_round, month_of, months_before, seconds_between, span,
 )
-from storeglass.operators.lookup import enrich_rows
+from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.materialize import materialize
 from storeglass.operators.ranking import global_positions, probe_ranks
 from storeglass.plans.sales import line_value, name_categories, sales_lines, with_category
@@ -158,7 +158,11 @@ def string_profile(t, year_text: str = "2024") -> DataFrame:
     products = t.products.filter(F.col("description").isNotNull()).select(
         "product_id", F.upper(F.substring("name", 1, 5)).alias("prefix"), "category_id")
     lines = t.order_items.select("order_id", "product_id", "unit_price")
-    joined = _text_join(_text_join(_text_join(lines, orders, "order_id"), users, "user_id"), products, "product_id")
+    # Users meet the orders, not the lines, and a hot user or product is spread over tasks.
+    placed = lookup_join(*_comparable(orders, users, "user_id"), "user_id", spread_by="order_id")
+    lines, placed = _comparable(lines, placed, "order_id")
+    joined = lines.join(placed, "order_id")
+    joined = lookup_join(*_comparable(joined, products, "product_id"), "product_id", spread_by="order_id")
     # Category names are looked at once per category, not once per line.
     price_text = F.col("unit_price").cast("decimal(10,2)").cast("string")
     per_category = joined.groupBy("category_id", "prefix").agg(
@@ -182,8 +186,8 @@ def string_profile(t, year_text: str = "2024") -> DataFrame:
     )
 
 
-def _text_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def _comparable(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the key as text if its types differ."""
     if left.schema[key].dataType != right.schema[key].dataType:
-        left = left.withColumn(key, F.col(key).cast("string"))
-        right = right.withColumn(key, F.col(key).cast("string"))
-    return left.join(right, key)
+        left, right = (df.withColumn(key, F.col(key).cast("string")) for df in (left, right))
+    return left, right

@@ -42,7 +42,7 @@ def order_documents(t, hwm=None, as_of=None, lists: bool = True) -> DataFrame:
     users = t.users.select("user_id", F.col("name").alias("user_name"), F.col("email").alias("user_email"))
     loaded = at(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     return (
-        orders.join(items, "order_id").join(users, "user_id")
+        lookup_join(orders, users, "user_id", spread_by="order_id").join(items, "order_id")
         .select(
             "order_id", "user_id", "user_name", "user_email", "order_date", "status",
             F.col("total_amount").cast("double").alias("total_amount"), "shipping_address", "payment_method",

@@ -187,7 +187,7 @@ def frequent_spenders(t, since, min_orders: int = 5, limit: int = 100, form: str
     if form == "pre_aggregated":
         spenders = sold.groupBy("user_id").agg(*measures).filter(F.col("order_count") >= min_orders).join(users, "user_id")
     elif form == "join_first":
-        spenders = sold.join(users, "user_id").groupBy("user_id", "user_name").agg(*measures).filter(
+        spenders = lookup_join(sold, users, "user_id", spread_by="order_id").groupBy("user_id", "user_name").agg(*measures).filter(
             F.col("order_count") >= min_orders)
     else:
         raise ValueError(f"unknown form {form!r}")
@@ -234,22 +234,27 @@ def order_lines_with_names(t, status: str = "shipped", algorithm: str = "auto",
         users, products = (F.broadcast(df) if is_small(df, BROADCAST_BYTES) else df for df in (users, products))
     elif algorithm != "auto":
         raise ValueError(f"unknown algorithm {algorithm!r}")
-    lines = t.order_items.select("order_id", "product_id").join(orders, "order_id").join(users, "user_id").join(
-        products, "product_id").select("order_id", "name", "product_name", "total_amount")
+    lines = t.order_items.select("order_id", "product_id")
+    if algorithm == "auto":
+        named = lookup_join(orders, users, "user_id", spread_by="order_id")
+        lines = lookup_join(lines.join(named, "order_id"), products, "product_id", spread_by="order_id")
+    else:
+        lines = lines.join(orders.join(users, "user_id"), "order_id").join(products, "product_id")
+    lines = lines.select("order_id", "name", "product_name", "total_amount")
     return lines if limit is None else lines.orderBy("order_id", "product_name").limit(limit)
 
 
 def buyers(t, status: str = "shipped", form: str = "exists", limit: int | None = None) -> DataFrame:
     """Users with an order in a status, as EXISTS, as IN subquery or as join with DISTINCT."""
     users = t.users.select("user_id", "name")
-    orders = t.orders.filter(F.col("status") == F.lit(status)).select("user_id")
+    orders = t.orders.filter(F.col("status") == F.lit(status)).select("user_id", "order_id")
+    # Keys are made distinct map-side first: a user with very many orders then counts as one row in the shuffle.
     if form == "exists":
-        found = users.join(orders, "user_id", "left_semi")
-    elif form == "join":
-        found = users.join(orders, "user_id").distinct()
+        found = users.join(orders.select("user_id").distinct(), "user_id", "left_semi")
     elif form == "in":
-        # Distinct first: the semi join then sees each user once, however many orders one user has.
-        found = users.join(orders.distinct(), "user_id", "left_semi")
+        found = users.join(orders.select("user_id").distinct(), "user_id")
+    elif form == "join":
+        found = lookup_join(orders, users, "user_id", spread_by="order_id").select("user_id", "name").distinct()
     else:
         raise ValueError(f"unknown form {form!r}")
     return found if limit is None else found.orderBy("user_id").limit(limit)
@@ -261,7 +266,7 @@ def basic_pack(t, status: str = "shipped") -> dict[str, DataFrame]:
     return {
         "select": orders.orderBy("order_id").limit(1000),
         "where": orders.filter(F.col("status") == F.lit(status)).orderBy("order_id").limit(500),
-        "join": orders.join(t.users.select("user_id", "name"), "user_id").select("order_id", "name", "total_amount")
+        "join": lookup_join(orders, t.users.select("user_id", "name"), "user_id", spread_by="order_id").select("order_id", "name", "total_amount")
         .orderBy("order_id").limit(500),
         "group": orders.groupBy("status").agg(F.count("*").alias("count"), F.avg("total_amount").alias("avg_amount")),
         "order": orders.orderBy(F.desc("order_date"), F.asc("order_id")).limit(500),
@@ -277,8 +282,8 @@ def complex_pack(t, name_prefix: str = "User") -> dict[str, DataFrame]:
         t.orders.select("order_id", "total_amount", "status"), ["status"],
         [F.desc_nulls_first("total_amount"), F.asc("order_id")], "rank",
     )
-    lines = t.order_items.select("order_id", "order_item_id", "product_id", "quantity").join(
-        orders.select("order_id", "user_id"), "order_id").join(t.users.select("user_id", "name"), "user_id")
+    owned = lookup_join(orders.select("order_id", "user_id"), t.users.select("user_id", "name"), "user_id", spread_by="order_id")
+    lines = t.order_items.select("order_id", "order_item_id", "product_id", "quantity").join(owned, "order_id")
     lines = lookup_join(lines, t.products.select("product_id", F.col("name").alias("product_name")), "product_id",
                         spread_by="order_id")
     spent = t.orders.groupBy("user_id").agg(

@@ -6,7 +6,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
 from storeglass.functions.exprs import RATING_WEIGHTS, exact_round, weight_of
-from storeglass.operators.lookup import lookup_join
+from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.ranking import global_positions, top_per_group
 
 
@@ -70,7 +70,9 @@ def als_recommendations(ratings: DataFrame, n: int = 10, seed: int = 7) -> DataF
 
 def enrich(snapshot: DataFrame, products: DataFrame, limit: int, order: list, per: str | None = None) -> DataFrame:
     """Product fields for the first `limit` entries of a snapshot (of each `per`); unknown products drop out."""
-    shown = top_per_group(snapshot, [per], order, limit, "_shown").drop("_shown") if per else snapshot.orderBy(*order).limit(limit)
     if per:
+        # A snapshot that carries its ranks needs no ranking.
+        shown = (snapshot.filter(F.col("rank") <= limit) if "rank" in snapshot.columns
+                 else top_per_group(snapshot, [per], order, limit, "_shown").drop("_shown"))
         return lookup_join(shown, products, "product_id", spread_by=per)
-    return products.join(F.broadcast(shown), "product_id") if limit <= 100_000 else shown.join(products, "product_id")
+    return enrich_rows(snapshot.orderBy(*order).limit(limit), products, "product_id", limit)

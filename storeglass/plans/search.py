@@ -58,12 +58,13 @@ def search_products(
         candidates = docs.filter(wanted & reduce(Column.__or__, (text.contains(term) for text in lowered for term in terms)))
         scored = _count_terms(candidates, terms).withColumn("_stats", stats)
         fields = [_field_score(f, len(terms)) * F.lit(boost) for f, boost in FIELD_BOOSTS.items()]
-        hits, total = scored.withColumn("relevance_score", F.greatest(*fields)), F.coalesce(stats["hits"], F.lit(0))
+        hits, total = scored.withColumn("relevance_score", F.greatest(*fields)), F.col("_stats.hits")
     # Misses score 0 and come last. They are dropped from the page only, as a filter before it would be pushed into the
     # scan side and count all words a second time.
     return (
-        hits.select(*columns, "relevance_score").orderBy(F.desc("relevance_score"), F.asc("product_id"))
-        .offset((page - 1) * size).limit(size).filter(F.col("relevance_score") > 0).withColumn("total_count", total)
+        hits.select(*columns, "relevance_score", total.alias("total_count"))
+        .orderBy(F.desc("relevance_score"), F.asc("product_id"))
+        .offset((page - 1) * size).limit(size).filter(F.col("relevance_score") > 0)
     )
 
 
