@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storeglass.functions.exprs import all_of, count_if
+from storeglass.operators.lookup import enrich_rows
+from storeglass.operators.materialize import materialize
 
 # Term saturation and length normalisation of BM25 (Robertson & Zaragoza 2009), boosts of the fields.
 K1, B = 1.2, 0.75
@@ -30,8 +32,9 @@ def search_products(
 ) -> DataFrame:
     """One page of products by relevance, with the number of all hits.
 
-    Two map-only passes: the first sums document frequencies, field lengths and hits to one row, the second scores.
-    Postings are never exploded or shuffled. Without a query every product matches with score 1.
+    Texts are split into words once: what is kept per product is only its field lengths and the counts of the query
+    terms, written once. Document frequencies and scores come from that slim table; postings are never exploded or
+    shuffled, and only the shown products are fetched again. Without a query every product matches with score 1.
     """
     wanted = all_of(
         None if not category else F.col("category") == F.lit(category),
@@ -40,32 +43,30 @@ def search_products(
         None if max_price is None else F.col("price") <= F.lit(max_price),
     )
     columns, terms = docs.columns, query_terms(q)
+    best_first = [F.desc("relevance_score"), F.asc("product_id")]
     if not q:
         found = docs.filter(wanted)
-        hits, total = found.withColumn("relevance_score", F.lit(1.0)), found.agg(F.count("*")).scalar()
-    elif not terms:
-        hits, total = docs.filter(F.lit(False)).withColumn("relevance_score", F.lit(0.0)), F.lit(0).cast("bigint")
-    else:
-        lengths = lambda f: F.when(F.col(f"_{f}_len") > 0, F.col(f"_{f}_len"))
-        stats = _count_terms(docs, terms).agg(F.struct(
-            *(F.avg(lengths(f)).alias(f"{f}_len") for f in FIELD_BOOSTS),
-            *(F.count(lengths(f)).alias(f"{f}_docs") for f in FIELD_BOOSTS),
-            *(count_if(F.col(f"_{f}_tf")[i] > 0).alias(f"{f}_df{i}") for f in FIELD_BOOSTS for i in range(len(terms))),
-            count_if(wanted & _any_term()).alias("hits"),
-        ).alias("stats")).scalar()
-        # A word of the query has to be somewhere in a text before that text is worth splitting into words.
-        lowered = [F.lower(_text(f)) for f in FIELD_BOOSTS]
-        candidates = docs.filter(wanted & reduce(Column.__or__, (text.contains(term) for text in lowered for term in terms)))
-        scored = _count_terms(candidates, terms).withColumn("_stats", stats)
-        fields = [_field_score(f, len(terms)) * F.lit(boost) for f, boost in FIELD_BOOSTS.items()]
-        hits, total = scored.withColumn("relevance_score", F.greatest(*fields)), F.col("_stats.hits")
-    # Misses score 0 and come last. They are dropped from the page only, as a filter before it would be pushed into the
-    # scan side and count all words a second time.
-    return (
-        hits.select(*columns, "relevance_score", total.alias("total_count"))
-        .orderBy(F.desc("relevance_score"), F.asc("product_id"))
-        .offset((page - 1) * size).limit(size).filter(F.col("relevance_score") > 0)
+        hits = found.select(*columns, F.lit(1.0).alias("relevance_score"), found.agg(F.count("*")).scalar().alias("total_count"))
+        return hits.orderBy(*best_first).offset((page - 1) * size).limit(size)
+    if not terms:
+        return docs.filter(F.lit(False)).select(
+            *columns, F.lit(0.0).alias("relevance_score"), F.lit(0).cast("bigint").alias("total_count"))
+    slim = materialize(_count_terms(docs.withColumn("_wanted", wanted), terms).select(
+        "product_id", "_wanted", *(f"_{f}_{part}" for f in FIELD_BOOSTS for part in ("len", "tf"))))
+    lengths = lambda f: F.when(F.col(f"_{f}_len") > 0, F.col(f"_{f}_len"))
+    stats = slim.agg(F.struct(
+        *(F.avg(lengths(f)).alias(f"{f}_len") for f in FIELD_BOOSTS),
+        *(F.count(lengths(f)).alias(f"{f}_docs") for f in FIELD_BOOSTS),
+        *(count_if(F.col(f"_{f}_tf")[i] > 0).alias(f"{f}_df{i}") for f in FIELD_BOOSTS for i in range(len(terms))),
+        count_if(F.col("_wanted") & _any_term()).alias("hits"),
+    ).alias("stats")).scalar()
+    fields = [_field_score(f, len(terms)) * F.lit(boost) for f, boost in FIELD_BOOSTS.items()]
+    shown = (
+        slim.filter(F.col("_wanted") & _any_term()).withColumn("_stats", stats)
+        .select("product_id", F.greatest(*fields).alias("relevance_score"), F.col("_stats.hits").alias("total_count"))
+        .orderBy(*best_first).offset((page - 1) * size).limit(size)
     )
+    return enrich_rows(shown, docs, "product_id", size).select(*columns, "relevance_score", "total_count").orderBy(*best_first)
 
 
 def _text(field: str) -> Column:
