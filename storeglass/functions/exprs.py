@@ -90,6 +90,21 @@ def growth_rate(value, previous) -> Column:
     return F.when(previous > 0, (value - previous) / previous * 100).otherwise(F.lit(0.0))
 
 
+def percent_of_sum(part, other) -> Column:
+    """part in percent of part + other; null when both are 0."""
+    return 100.0 * F.col(part) / F.nullif(F.col(part) + F.col(other), F.lit(0))
+
+
+def chance(probability: float, seed: int) -> Column:
+    """Random predicate: true for about this share of the rows, the same ones for the same seed and partitions."""
+    return F.rand(seed) < probability
+
+
+def distinct_count(column, approx: bool = False) -> Column:
+    """Exact number of distinct values, or a sketch of it that needs no second shuffle."""
+    return F.approx_count_distinct(column) if approx else F.count_distinct(column)
+
+
 def count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 

@@ -15,10 +15,15 @@ def top_per_group(
     """Rows `skip`+1 .. `skip`+k of each group.
 
     The `<=` bound lets Catalyst cut every group to its best rows before the shuffle (WindowGroupLimit), so a hot group
-    sends at most skip + k rows per map task.
+    sends at most skip + k rows per map task. Beyond the bound up to which it does so, distributed positions are used.
+    `order` should be total.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= skip + k)
+    cut = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if skip + k < cut:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= skip + k)
+    else:
+        ranked = group_positions(df, keys, order, rank).withColumn(rank, F.col(rank).cast("int")).filter(F.col(rank) <= skip + k)
     return ranked.filter(F.col(rank) > skip) if skip else ranked
 
 

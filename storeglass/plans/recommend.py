@@ -18,19 +18,25 @@ def interactions(events: DataFrame, weights: dict[str, float] | None = None) ->
 
 
 def affinity_recommendations(events: DataFrame, n: int = 10, users: DataFrame | None = None) -> DataFrame:
-    """n products per user: own ones by weight, then popular unseen ones.
+    """n products per user from events: own ones by weight, then popular unseen ones."""
+    # Popularity is a second scan of one column that combines map-side; taking it from the pairs would keep both of
+    # their measures in the big shuffle.
+    popular = events.groupBy("product_id").agg(F.count("*").alias("n"))
+    return affinity_from_pairs(interactions(events), popular, n, users)
+
+
+def affinity_from_pairs(pairs: DataFrame, popular: DataFrame, n: int = 10, users: DataFrame | None = None) -> DataFrame:
+    """The same from kept sums: pairs (user_id, product_id, weight) and popular (product_id, n).
 
     A user with k < n own products has seen at most k of the n most popular ones, so these n suffice for the fill; they
     travel as one literal-size list, not as a join. With `users`, users without history get popular products only.
     """
-    per_pair = interactions(events)
-    own = top_per_group(per_pair.select("user_id", "product_id", "weight"), ["user_id"],
+    own = top_per_group(pairs.select("user_id", "product_id", "weight"), ["user_id"],
                         [F.desc("weight"), F.asc("product_id")], n)
     # At most n entries per user.
     entry = F.struct("rank", "product_id", exact_round(F.least(F.lit(5.0), F.col("weight") / 2), 2).alias("score"))
     lists = own.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("own"))
-    # A second scan of one column that combines map-side; sharing the pairs would keep both measures in the big shuffle.
-    popular = events.groupBy("product_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "product_id").limit(n)
+    popular = popular.orderBy(F.desc("n"), "product_id").limit(n)
     ranked = F.struct((-F.col("n")).alias("k"), F.col("product_id").alias("product_id"), F.col("n").alias("n"))
     top = popular.agg(F.array_sort(F.collect_list(ranked))).scalar()
     if users is not None:

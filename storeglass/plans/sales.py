@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeglass.functions.exprs import (
-    SOLD, SOLD_OR_COMPLETED, VOID, all_of, count_if, days_before, exact_round, growth_rate, month_of, months_before, span,
+    SOLD, SOLD_OR_COMPLETED, VOID, all_of, count_if, days_before, distinct_count, exact_round, growth_rate, month_of,
+    months_before, span,
 )
 from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.percentiles import group_percentiles
@@ -46,13 +47,13 @@ def name_products(t, df: DataFrame, product: str = "product_name", brand: bool =
     return named
 
 
-def monthly_category_growth(t, as_of, months: int = 12, limit: int = 100) -> DataFrame:
-    """Revenue per month and category with growth, spread and ranks."""
+def monthly_category_growth(t, as_of, months: int = 12, limit: int = 100, approx: bool = False) -> DataFrame:
+    """Revenue per month and category with growth, spread and ranks; `approx` counts customers and orders by sketch."""
     lines = sales_lines(t, months_before(as_of, months), as_of).select(
         "order_id", "user_id", "product_id", month_of("ordered_at").alias("month"), line_value().alias("value"))
     stats = with_category(t, lines).groupBy("month", "category_id").agg(
-        F.countDistinct("order_id").alias("order_count"),
-        F.countDistinct("user_id").alias("unique_customers"),
+        distinct_count("order_id", approx).alias("order_count"),
+        distinct_count("user_id", approx).alias("unique_customers"),
         F.sum("value").alias("revenue"),
         F.avg("value").alias("avg_order_value"),
         F.stddev_samp("value").alias("revenue_stddev"),
@@ -172,14 +173,14 @@ def category_tree(t, as_of, months: int = 3, max_depth: int = 10) -> DataFrame:
     ).orderBy("level", F.desc("total_revenue"), "category_id")
 
 
-def category_sales(t, as_of, days: int = 30) -> DataFrame:
-    """Category sales report: totals, shares of the whole, ranks."""
+def category_sales(t, as_of, days: int = 30, approx: bool = False) -> DataFrame:
+    """Category sales report: totals, shares of the whole, ranks; `approx` counts orders and customers by sketch."""
     lines = sales_lines(t, days_before(as_of, days), as_of, SOLD_OR_COMPLETED, "order_date")
     stats = with_category(t, lines).groupBy("category_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        distinct_count("order_id", approx).alias("total_orders"),
         F.sum("quantity").alias("total_items_sold"),
         F.sum("total_price").alias("total_revenue"),
-        F.countDistinct("user_id").alias("unique_customers"),
+        distinct_count("user_id", approx).alias("unique_customers"),
         F.avg("unit_price").alias("avg_unit_price"),
         F.min("unit_price").alias("min_price"),
         F.max("unit_price").alias("max_price"),
@@ -362,14 +363,16 @@ def monthly_growth(t, as_of, months: int = 6) -> DataFrame:
         "month", "monthly_revenue", "monthly_orders", "prev_month_revenue", "growth_rate").orderBy(F.desc("month"))
 
 
-def price_stats(t, min_products: int = 10) -> DataFrame:
-    """Price distribution per category with more than `min_products` products."""
+def price_stats(t, min_products: int = 10, approx: bool = False) -> DataFrame:
+    """Price distribution per category with more than `min_products` products; `approx` takes percentiles by sketch."""
     products = t.products.select("category_id", "price").filter(F.col("category_id").isNotNull())
     stats = products.groupBy("category_id").agg(
         F.count("*").alias("product_count"), F.avg("price").alias("avg_price"), F.stddev_samp("price").alias("price_stddev"),
         F.min("price").alias("min_price"), F.max("price").alias("max_price"),
     ).filter(F.col("product_count") > min_products)
-    middle = group_percentiles(products, ["category_id"], "price", {"median_price": 0.5, "p95_price": 0.95})
+    wanted = {"median_price": 0.5, "p95_price": 0.95}
+    middle = group_percentiles(products, ["category_id"], "price", wanted) if not approx else products.groupBy(
+        "category_id").agg(*(F.percentile_approx("price", p).alias(name) for name, p in wanted.items()))
     return name_categories(t, stats.join(middle, "category_id")).select(
         "category", "product_count", "avg_price", "price_stddev", "median_price", "p95_price", "min_price", "max_price",
     ).orderBy(F.desc("avg_price"), "category")

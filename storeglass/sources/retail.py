@@ -28,6 +28,32 @@ def day_after_last(df: DataFrame, column: str) -> datetime:
     return datetime(last.year, last.month, last.day) + timedelta(days=1)
 
 
+class LakeTables(Tables):
+    """Retail tables stored under their own names in `<root>/<name>`, or as catalog tables where no root is given."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        super().__init__()
+        self._spark, self._root = spark, root
+
+    def __getattr__(self, name: str) -> DataFrame:
+        # Only called for tables not asked for before.
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name == "signups":
+            frame = self.users.select("user_id", "signup_date")
+        elif name == "category_tree":
+            frame = self.categories
+        else:
+            frame = self._spark.table(name) if self._root is None else self._spark.read.parquet(f"{self._root}/{name}")
+        self.__dict__[name] = frame
+        return frame
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower, upper, parts: int, **options) -> DataFrame:
+    """Table of a database, read by `parts` tasks over ranges of a key column."""
+    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=parts, properties=options)
+
+
 class StarTables(Tables):
     """Retail tables over `<root>/<name>.parquet` star-schema files."""
 

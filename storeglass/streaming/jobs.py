@@ -7,12 +7,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from storeglass.functions.exprs import RATING_WEIGHTS, weight_of
 from storeglass.operators.materialize import materialize
 from storeglass.plans import behavior, etl
-from storeglass.plans.recommend import affinity_recommendations, als_recommendations
+from storeglass.plans.recommend import affinity_from_pairs, als_recommendations, interactions
 from storeglass.plans.sqllog import parse_sql_log
-from storeglass.sources.lake import next_mark, read_mark, upsert_partitioned, write_mark, write_snapshot
+from storeglass.sources.lake import next_mark, read_if_exists, read_mark, upsert_partitioned, write_mark, write_snapshot
 
 
 def start(df: DataFrame, path: str, checkpoint: str, mode: str = "append", interval: str | None = None,
@@ -36,7 +35,7 @@ def each_batch(stream: DataFrame, run, checkpoint: str, interval: str | None = N
 def append_batch(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = ()) -> None:
     """Writes the rows of a batch to its own partition, replacing what an earlier try of it wrote."""
     df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("batch_id", *partitions).parquet(path)
+        "partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").parquet(path)
 
 
 def route_by_type(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> list[StreamingQuery]:
@@ -61,11 +60,12 @@ def counters_to_table(aggregate: DataFrame, path: str, checkpoint: str, key: str
 
 def run_recommender(
     stream: DataFrame, path: str, checkpoint: str, min_ratings: int = 100, n: int = 10, seed: int = 7,
-    interval: str | None = None,
+    interval: str | None = None, compact_every: int = 100,
 ) -> StreamingQuery:
     """Events -> bronze table and rating sums; ALS and trending snapshots after every micro-batch.
 
-    Rating sums are kept as one small partition per batch and added up on reading. ALS runs from `min_ratings` rated
+    Rating sums are kept as one small partition per batch and added up on reading; every `compact_every` batches they
+    are folded into one. ALS runs from `min_ratings` rated
     pairs on. Events need event_id, user_id, product_id, event_type and `ts` (timestamp without zone).
     """
 
@@ -75,9 +75,9 @@ def run_recommender(
         if rows.isEmpty():
             return
         append_batch(rows.withColumn("event_date", F.to_date("ts")), f"{path}/events", batch_id, ("event_date",))
-        sums = rows.groupBy("user_id", "product_id").agg(
-            F.sum(weight_of("event_type", RATING_WEIGHTS, 1.0)).alias("weight"), F.count("*").alias("n"))
-        append_batch(sums, f"{path}/rating_sums", batch_id)
+        append_batch(interactions(rows), f"{path}/rating_sums", batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            compact_sums(spark, path, batch_id)
         events = spark.read.parquet(f"{path}/events")
         as_of = events.agg(F.max("ts").alias("last")).first()["last"]
         ratings = rating_table(spark, path)
@@ -102,22 +102,48 @@ def write_trending(trending: DataFrame, path: str, as_of) -> None:
     write_snapshot(listed.withColumn("name", F.lit("trending_products")), path, "name", 300, as_of, buckets=1)
 
 
+def interaction_sums(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Weight and number per user and product over all batches: the last fold plus the batches after it."""
+    base = read_if_exists(spark, f"{path}/rating_base")
+    if base is not None and upto is not None:
+        base = base.filter(F.col("version") < upto)
+    folded = None if base is None else base.agg(F.max("version").alias("v")).first()["v"]
+    parts = spark.read.parquet(f"{path}/rating_sums")
+    if upto is not None:
+        parts = parts.filter(F.col("batch_id") <= upto)
+    parts = parts if folded is None else parts.filter(F.col("batch_id") > folded)
+    rows = parts.select("user_id", "product_id", "weight", "n")
+    if folded is not None:
+        rows = rows.unionByName(base.filter(F.col("version") == folded).select(*rows.columns))
+    return rows.groupBy("user_id", "product_id").agg(F.sum("weight").alias("weight"), F.sum("n").alias("n"))
+
+
+def compact_sums(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Folds the sums of all batches up to this one. Nothing read is overwritten, and a repeated fold is the same."""
+    interaction_sums(spark, path, batch_id).withColumn("version", F.lit(batch_id).cast("bigint")).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{path}/rating_base")
+
+
 def rating_table(spark: SparkSession, path: str) -> DataFrame:
     """Ratings from the sums of all batches; equal to the ratings of all events."""
-    sums = spark.read.parquet(f"{path}/rating_sums").groupBy("user_id", "product_id").agg(
-        F.sum("weight").alias("weight"), F.sum("n").alias("interaction_count"))
-    average = F.col("weight") / F.col("interaction_count")
-    return sums.select("user_id", "product_id", average.alias("avg_rating"), "interaction_count",
-                       (average * F.log(F.col("interaction_count") + F.lit(1.0))).alias("final_rating"))
+    average = F.col("weight") / F.col("n")
+    return interaction_sums(spark, path).select(
+        "user_id", "product_id", average.alias("avg_rating"), F.col("n").alias("interaction_count"),
+        (average * F.log(F.col("n") + F.lit(1.0))).alias("final_rating"))
 
 
-def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None) -> StreamingQuery:
-    """Keeps the events and rewrites the affinity recommendations after every micro-batch."""
+def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None,
+                   compact_every: int = 100) -> StreamingQuery:
+    """Keeps the interaction sums and rewrites the affinity recommendations after every micro-batch."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, f"{path}/events", batch_id)
-        events = batch.sparkSession.read.parquet(f"{path}/events")
-        affinity_recommendations(events, n).write.mode("overwrite").parquet(f"{path}/recommendations")
+        spark = batch.sparkSession
+        append_batch(interactions(batch), f"{path}/rating_sums", batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            compact_sums(spark, path, batch_id)
+        pairs = interaction_sums(spark, path)
+        popular = pairs.groupBy("product_id").agg(F.sum("n").alias("n"))
+        affinity_from_pairs(pairs, popular, n).write.mode("overwrite").parquet(f"{path}/recommendations")
 
     return each_batch(stream, process, checkpoint, interval)
 

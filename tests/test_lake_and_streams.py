@@ -109,7 +109,9 @@ def test_recommender_in_batches_equals_one_batch(spark, tmp_path):
     put(folder, "1.json", lines[:150])
     put(folder, "2.json", lines[150:])
     stream = timed(source.read_events(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"}))
-    jobs.run_recommender(stream, path, str(tmp_path / "s"), n=3).awaitTermination()
+    jobs.run_recommender(stream, path, str(tmp_path / "s"), n=3, compact_every=1).awaitTermination()
+    assert values(spark.read.parquet(f"{path}/rating_base").select("version").distinct(), "version") == [(0,), (1,)]
+    jobs.compact_sums(spark, path, 1)  # a repeated fold changes nothing
     batch = timed(source.decode_json(spark.read.text(str(folder)))[0])
     want = behavior.ratings(batch).select("user_id", "product_id", F.round("final_rating", 9).alias("r"))
     got = jobs.rating_table(spark, path).select("user_id", "product_id", F.round("final_rating", 9).alias("r"))

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from storeglass.functions.exprs import exact_round, growth_rate, in_month, months_before, moment
+from storeglass.functions.exprs import chance, exact_round, growth_rate, in_month, moment, months_before, percent_of_sum
 from storeglass.operators.lookup import lookup_join
 from storeglass.operators.percentiles import group_percentiles
 from storeglass.operators.quality import cascade_delete, check_fk, check_not_null, check_rules, check_unique, fill_defaults
@@ -82,6 +82,55 @@ def test_salted_lookup_equals_broadcast(spark, rows, how):
     assert plain.exceptAll(salted).count() == 0 and plain.count() == salted.count()
 
 
+def test_deep_pages_per_group_use_positions(spark, rows):
+    order = [F.desc("val"), F.asc("id")]
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        deep = top_per_group(rows, ["grp"], order, 4, skip=2).select("id", "rank")
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert deep.exceptAll(top_per_group(rows, ["grp"], order, 4, skip=2).select("id", "rank")).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, star):
+    from storeglass.plans.sales import product_stats
+    from storeglass.sources.lake import write_bucketed
+    from storeglass.sources.retail import LakeTables
+
+    write_bucketed(star.orders, "orders", "order_id", 4)
+    write_bucketed(star.order_items, "order_items", "order_id", 4)
+    for name in ("products", "categories", "brands"):
+        getattr(star, name).write.mode("overwrite").saveAsTable(name)
+    t = LakeTables(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = t.order_items.join(t.orders, "order_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    columns = [F.round(c, 4).alias(c) if c == "total_revenue" else F.col(c) for c in product_stats(t).columns]
+    assert product_stats(t).select(columns).exceptAll(product_stats(star).select(columns)).count() == 0
+
+
+def test_sketches_are_close(star):
+    from storeglass.plans.sales import category_sales, price_stats
+
+    exact = {r.category: r for r in category_sales(star, "2001-08-02", 400).collect()}
+    for r in category_sales(star, "2001-08-02", 400, approx=True).collect():
+        assert abs(r.unique_customers - exact[r.category].unique_customers) <= 0.2 * exact[r.category].unique_customers
+        assert r.total_items_sold == exact[r.category].total_items_sold
+    exact = {r.category: r for r in price_stats(star).collect()}
+    for r in price_stats(star, approx=True).collect():
+        assert abs(r.median_price - exact[r.category].median_price) < 2
+
+
+def test_percent_and_chance(spark):
+    df = spark.range(1000).select(F.col("id").alias("hit"), (F.col("id") * 3).alias("miss"))
+    assert [r[0] for r in df.select(percent_of_sum("hit", "miss")).limit(2).collect()] == [None, 25.0]
+    assert 150 < df.filter(chance(0.2, 3)).count() < 250
+    assert df.filter(chance(1.0, 3)).count() == 1000
+
+
 def test_month_arithmetic_and_rounding(spark):
     assert months_before("2024-03-31", 1) == moment("2024-02-29")
     assert months_before("2024-01-15", 13) == moment("2022-12-15")
