@@ -81,11 +81,13 @@ VIEWS = {
 SOLD3 = "('shipped', 'delivered', 'completed')"
 
 
-def _sql(body: str, doubles: str = "", stamps: str = "", dates: str = "", recursive: str = "") -> str:
+def _sql(body: str, doubles: str = "", stamps: str = "", dates: str = "", ints: str = "",
+         recursive: str = "") -> str:
     """Statement with its common table expressions and the output columns written portably."""
     changes = [f"CAST(round(CAST({c} AS DECIMAL(28, 8)), 4) AS DOUBLE) AS {c}" for c in doubles.split()]
     changes += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in stamps.split()]
     changes += [f"CAST(CAST({c} AS DATE) AS VARCHAR) AS {c}" for c in dates.split()]
+    changes += [f"CAST({c} AS INTEGER) AS {c}" for c in ints.split()]
     wanted, seen = [], re.findall(r"\w+", body + recursive)
     for name in reversed(list(VIEWS)):
         if name in seen:
@@ -141,7 +143,7 @@ def _customers(spent: str, mean: str, limit: int) -> str:
             round(CAST(customer_value_score * 100 / max(customer_value_score) OVER () AS DECIMAL(28, 8)), 1) AS score_percentile
         FROM s JOIN u USING (user_id) JOIN su USING (user_id) ORDER BY value_rank LIMIT {limit}""",
         "total_spent avg_order_value customer_value_score daily_avg_spend score_percentile",
-        "join_date last_order_date first_order_date")
+        "join_date last_order_date first_order_date", ints="active_months value_rank")
 
 
 def _search(where: str, offset: int) -> str:
@@ -208,7 +210,7 @@ def oracle_sql() -> dict[str, str]:
             rank() OVER (PARTITION BY month ORDER BY revenue DESC) AS revenue_rank,
             row_number() OVER (ORDER BY growth_rate DESC NULLS LAST, month DESC, category) AS growth_rank
         FROM r ORDER BY month DESC, revenue DESC, category LIMIT 100""",
-        "revenue growth_rate avg_order_value revenue_stddev", dates="month")
+        "revenue growth_rate avg_order_value revenue_stddev", dates="month", ints="revenue_rank growth_rank")
     out["q05_product_sales_profile"] = _profile("greatest(coalesce(reviews, 0), 1)",
                                                 "(count(*) // greatest(coalesce(any_value(r.reviews), 0), 1))")
     out["q05_product_sales_profile_dedup"] = _profile("1", "1")
@@ -223,6 +225,7 @@ def oracle_sql() -> dict[str, str]:
             lag(total_revenue) OVER (PARTITION BY level ORDER BY total_revenue DESC, category_id) AS prev_revenue_in_level,
             if(product_count > 0, total_revenue / product_count, 0) AS revenue_per_product FROM s""",
         "total_revenue avg_rating min_price max_price avg_price prev_revenue_in_level revenue_per_product",
+        ints="revenue_rank_in_level",
         recursive="""walk AS (SELECT category_id, name, 1 AS level, name AS path FROM tree WHERE parent IS NULL UNION ALL
             SELECT t.category_id, t.name, walk.level + 1, walk.path || ' > ' || t.name FROM tree t JOIN walk ON t.parent = walk.category_id
             WHERE walk.level < 10)""")
@@ -257,7 +260,7 @@ def oracle_sql() -> dict[str, str]:
         JOIN p ON CAST(li.product_id AS VARCHAR) = CAST(p.product_id AS VARCHAR)
         JOIN cat ON CAST(cat.category_id AS VARCHAR) = CAST(p.category_id AS VARCHAR)
         WHERE CAST(o.created_at AS VARCHAR) NOT LIKE '%impossible_date%' AND u.email NOT LIKE '%@nonexistent.com' AND p.description IS NOT NULL""",
-        "avg_id_prefix min_timestamp avg_vowel_category_length")
+        "avg_id_prefix min_timestamp avg_vowel_category_length", ints="max_name_length")
     week = "created_at >= TIMESTAMP '2024-01-24' AND created_at < TIMESTAMP '2024-01-31'"
     counts = f"SELECT user_id, action_type, count(*) AS count, count(DISTINCT product_id) AS unique_products FROM beh WHERE {week} GROUP BY 1, 2"
     out["q09_behavior_counts"] = _sql(counts)
@@ -315,7 +318,8 @@ def oracle_sql() -> dict[str, str]:
             round(CAST(total_revenue / nullif(total_orders, 0) AS DECIMAL(28, 8)), 2) AS avg_order_value,
             row_number() OVER (ORDER BY total_revenue DESC, category) AS revenue_rank,
             row_number() OVER (ORDER BY total_items_sold DESC, category) AS volume_rank FROM c""",
-        "total_revenue avg_unit_price min_price max_price revenue_percentage volume_percentage avg_order_value")
+        "total_revenue avg_unit_price min_price max_price revenue_percentage volume_percentage avg_order_value",
+        ints="revenue_rank volume_rank")
     out["q14_top_customers"] = _customers("sum(total_amount)", "avg(total_amount)", 20)
     out["q14_top_customers_dedup"] = _customers(
         "sum(total_amount) FILTER (line = 1)", "avg(total_amount) FILTER (line = 1)", 300)
@@ -389,7 +393,7 @@ def oracle_sql() -> dict[str, str]:
         FROM ln JOIN cat USING (category_id) JOIN br USING (brand_id)
         WHERE created_at >= TIMESTAMP '2001-07-03' AND created_at < TIMESTAMP '2001-08-02'
         ORDER BY created_at DESC, val DESC, order_id, line_no, product_id, supplier, quantity, total_price LIMIT 100""",
-        "unit_price item_total category_avg_price", "created_at")
+        "unit_price item_total category_avg_price", "created_at", ints="user_order_rank")
     out["q30a_hot_products"] = _sql("""SELECT product_name, category, brand, total_orders, total_sold, avg_price, last_order_date FROM (
         SELECT product_id, any_value(product_name) AS product_name, any_value(cat.name) AS category, any_value(br.name) AS brand,
             count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_sold, avg(unit_price) AS avg_price,
@@ -400,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
             row_number() OVER w AS order_sequence, count(*) OVER (PARTITION BY user_id) AS total_user_orders FROM o
         WHERE created_at >= TIMESTAMP '2000-08-02' AND created_at < TIMESTAMP '2001-08-02'
         WINDOW w AS (PARTITION BY user_id ORDER BY created_at, order_id) ORDER BY user_id, created_at, order_id LIMIT 50""",
-        stamps="created_at prev_order next_order")
+        stamps="created_at prev_order next_order", ints="order_sequence")
     out["q30c_monthly_growth"] = _sql("""
         WITH m AS (SELECT date_trunc('month', o.created_at) AS month, sum(val) AS monthly_revenue, count(DISTINCT order_id) AS monthly_orders
             FROM o JOIN li USING (order_id) WHERE created_at >= TIMESTAMP '2001-02-02' AND created_at < TIMESTAMP '2001-08-02' GROUP BY 1),
