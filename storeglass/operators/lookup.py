@@ -13,13 +13,13 @@ def planned_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return planned_bytes(df) <= limit
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    return planned_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "inner",
-    limit: int = BROADCAST_BYTES, salts: int = SALTS,
+    limit: int | None = None, salts: int = SALTS,
 ) -> DataFrame:
     """facts join lookup on `key` (unique in lookup).
 

@@ -55,7 +55,8 @@ def global_positions(df: DataFrame, order: list[Column], position: str = "positi
 
 def group_positions(df: DataFrame, keys: list[str], order: list[Column], position: str = "position") -> DataFrame:
     """row_number() over (partition by keys order by order) where a group may hold a large share of all rows."""
-    placed = materialize(global_positions(df, [F.col(k).asc_nulls_first() for k in keys] + order, "_global"))
+    # Positions come from a checkpoint, so reading them twice gives the same rows.
+    placed = global_positions(df, [F.col(k).asc_nulls_first() for k in keys] + order, "_global")
     starts = placed.groupBy(*keys).agg(F.min("_global").alias("_start"))
     if len(keys) == 1:
         matched = placed.alias("p").join(

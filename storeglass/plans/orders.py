@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeglass.functions.exprs import SOLD, SOLD_OR_COMPLETED, all_of, at, in_month, in_year, months_before, span
-from storeglass.operators.lookup import BROADCAST_BYTES, enrich_rows, is_small, lookup_join
+from storeglass.operators.lookup import enrich_rows, is_small, lookup_join
 from storeglass.operators.ranking import global_positions, group_positions, top_per_group
 
 ORDER_COLUMNS = ["order_id", "user_id", "order_date", "status", "total_amount", "payment_method", "created_at", "updated_at"]
@@ -231,7 +231,7 @@ def order_lines_with_names(t, status: str = "shipped", algorithm: str = "auto",
     if algorithm in JOIN_HINTS:
         users, products, orders = (df.hint(JOIN_HINTS[algorithm]) for df in (users, products, orders))
     elif algorithm == "nested_loop":
-        users, products = (F.broadcast(df) if is_small(df, BROADCAST_BYTES) else df for df in (users, products))
+        users, products = (F.broadcast(df) if is_small(df) else df for df in (users, products))
     elif algorithm != "auto":
         raise ValueError(f"unknown algorithm {algorithm!r}")
     lines = t.order_items.select("order_id", "product_id")

@@ -30,3 +30,19 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 6
+
+
+@pytest.mark.parametrize("name", [
+    "q02_user_orders", "q04_monthly_category_growth", "q06_category_tree", "q08_string_profile", "q09_behavior_products",
+    "q12_purchase_history_details", "q13_category_sales", "q24_order_lines_auto", "q27_complex_joins", "q33_recommendation_score",
+    "q40_enriched_recommendations", "q47_order_documents"])
+def test_nothing_broadcast_gives_the_same(spark, con, name, monkeypatch):
+    """The way taken on tables too large to broadcast: salted lookups, shuffled joins."""
+    from storeglass.operators import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare.compare(spark, con, name, ROOT, SQL[name])[1] is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
