@@ -75,10 +75,15 @@ def trending(events: DataFrame, as_of, limit: int = 50) -> DataFrame:
     )).orderBy(F.desc("trending_score"), "product_id").limit(limit)
 
 
+# Parts of ten for interactions, users and purchases.
+TRENDING_TENTHS = (3, 5, 2)
+
+
 def trending_score(counts: DataFrame) -> DataFrame:
-    return counts.withColumn(
-        "trending_score",
-        F.col("total_interactions") * F.lit(0.3) + F.col("unique_users") * F.lit(0.5) + F.col("purchases") * F.lit(0.2))
+    """Weighted sum in whole tenths, divided once: equal scores stay equal and ties are decided by key."""
+    interactions, users, purchases = TRENDING_TENTHS
+    tenths = F.col("total_interactions") * interactions + F.col("unique_users") * users + F.col("purchases") * purchases
+    return counts.withColumn("trending_score", tenths / F.lit(10.0))
 
 
 def simple_trending(events: DataFrame, n: int = 20) -> DataFrame:

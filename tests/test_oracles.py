@@ -46,3 +46,28 @@ def test_nothing_broadcast_gives_the_same(spark, con, name, monkeypatch):
         assert compare.compare(spark, con, name, ROOT, SQL[name])[1] is None
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture(scope="module")
+def hot(tmp_path_factory):
+    """The tables with a third of the lines on one product, of the orders on one user, of the events on one of each."""
+    folder, db = tmp_path_factory.mktemp("hot"), compare.connect(ROOT)
+    changed = {
+        "lineitem": "if(l_orderkey % 3 = 0, 7, l_partkey) AS l_partkey",
+        "orders": "if(o_orderkey % 3 = 1, 3, o_custkey) AS o_custkey",
+        "events": """if(event_id % 3 = 1, 5, user_id) AS user_id, if(event_id % 3 = 2, '{"k": 9}', props) AS props""",
+    }
+    for name in compare.TABLES:
+        replace = f"REPLACE ({changed[name]})" if name in changed else ""
+        db.execute(f"COPY (SELECT * {replace} FROM {name}) TO '{folder}/{name}.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", [
+    "q02_user_orders", "q04_monthly_category_growth", "q05_product_sales_profile", "q09_behavior_products", "q14_top_customers",
+    "q27_complex_window", "q29_recent_lines", "q34_daily_summary", "q35_trending", "q38_affinity_recommendations"])
+def test_hot_keys(spark, hot, name, monkeypatch):
+    from storeglass.operators import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    assert compare.compare(spark, compare.connect(hot), name, hot, SQL[name])[1] is None
