@@ -131,7 +131,7 @@ def summary_upserted(spark: SparkSession, root: str) -> DataFrame:
     t = StarTables(spark, root)
     path = f"{_place(spark)}/daily_sales_summary"
     days = sales.daily_summary(t)
-    # Days are the partitions of the reference table; by month the files stay large enough here.
+    # Days could be the partitions themselves; by month the files stay large enough here.
     by_month = days.withColumn("month", F.trunc("summary_date", "MM")).withColumn("_at", F.lit(0))
     lake.upsert_partitioned(by_month, path, ["summary_date"], "_at", ["month"])
     lake.upsert_partitioned(by_month.filter(F.year("summary_date") == 2000), path, ["summary_date"], "_at", ["month"])

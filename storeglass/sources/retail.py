@@ -23,7 +23,7 @@ class Tables:
 
 
 def day_after_last(df: DataFrame, column: str) -> datetime:
-    """Reference date for a table: the day after its latest timestamp (one row comes back to the driver)."""
+    """Date to count back from: the day after its latest timestamp (one row comes back to the driver)."""
     last = df.agg(F.max(column).alias("last")).first()["last"]
     return datetime(last.year, last.month, last.day) + timedelta(days=1)
 
