@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeglass.llm import packing
+from storeglass.llm import oracles, packing, quality
 from storeglass.llm.common import table
 
 
@@ -14,9 +14,13 @@ def op4_shortest_pack_first(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack_documents(table(spark, root, "documents"))
 
 
+def op10_adaptive_quality(spark: SparkSession, root: str) -> DataFrame:
+    return quality.assess(table(spark, root, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
