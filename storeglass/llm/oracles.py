@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storeglass.llm import quality
+from storeglass.llm import licenses, quality
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -69,7 +69,38 @@ judged AS (
     GROUP BY c.doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed)"""
 
 
+def license_sql() -> str:
+    """Every unit against every template that its number of bigrams allows."""
+    rows = []
+    for name, text in sorted(licenses.TEMPLATES.items()):
+        grams = licenses.template_bigrams(text)
+        low, high = licenses.size_range(len(grams))
+        rows.append(f"('{name}', {grams!r}, {len(grams)}, {low}, {high})")
+    return f"""
+WITH templates(template, t_grams, n_template, low, high) AS (VALUES {', '.join(rows)}),
+split_lines AS (SELECT doc_id, coalesce(text, '') AS text, str_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+units AS (
+    SELECT doc_id, unnest(lines) AS unit, unnest(range(1, len(lines) + 1)) AS line_no FROM split_lines
+    UNION ALL SELECT doc_id, text, 0 FROM split_lines WHERE len(lines) > 1),
+worded AS (
+    SELECT doc_id, line_no, str_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units),
+sets AS (
+    SELECT doc_id, line_no, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams
+    FROM worded),
+matched AS (
+    SELECT doc_id, line_no, template, len(grams) AS n_bigrams, n_template, len(list_intersect(grams, t_grams)) AS n_shared
+    FROM sets JOIN templates ON len(grams) BETWEEN low AND high),
+best AS (
+    SELECT * FROM matched WHERE 200 * n_shared >= {licenses.LEAST} * (n_bigrams + n_template)
+    QUALIFY row_number() OVER (
+        PARTITION BY doc_id, line_no ORDER BY 2 * n_shared / (n_bigrams + n_template) DESC, template) = 1)
+SELECT doc_id, line_no::BIGINT AS line_no, template, n_bigrams::BIGINT AS n_bigrams, n_template::BIGINT AS n_template,
+    n_shared::BIGINT AS n_shared, (200 * n_shared // (n_bigrams + n_template))::BIGINT AS dice_percent
+FROM best"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_license_scan": license_sql(),
         "op10_adaptive_quality": f"WITH {counts_sql()}, {verdict_sql()} SELECT * FROM judged",
     }
