@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeglass.llm import binary, licenses, oracles, packing, quality
+from storeglass.llm import binary, classify, licenses, oracles, packing, quality
 from storeglass.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op4_shortest_pack_first(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack_documents(table(spark, root, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return classify.toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+def op5_language(spark: SparkSession, root: str) -> DataFrame:
+    return classify.language(table(spark, root, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, root: str) -> DataFrame:
     return licenses.scan(table(spark, root, "documents"))
 
