@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeglass.llm import binary, classify, licenses, oracles, packing, quality
+from storeglass.llm import binary, classify, decontaminate, licenses, oracles, packing, quality, urls
 from storeglass.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op4_shortest_pack_first(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack_documents(table(spark, root, "documents"))
 
 
+def op1_edit_matching(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.find(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return classify.toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
 
@@ -26,6 +30,10 @@ def op6_license_scan(spark: SparkSession, root: str) -> DataFrame:
     return licenses.scan(table(spark, root, "documents"))
 
 
+def op7_path_templates(spark: SparkSession, root: str) -> DataFrame:
+    return urls.judge(table(spark, root, "pages"))
+
+
 def op9_packed_matrices(spark: SparkSession, root: str) -> DataFrame:
     return binary.pack_matrices(table(spark, root, "documents"))
 
