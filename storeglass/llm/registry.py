@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeglass.llm import binary, classify, decontaminate, licenses, oracles, packing, quality, urls
+from storeglass.llm import binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, urls
 from storeglass.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_edit_matching(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.find(table(spark, root, "documents"), table(spark, root, "benchmark"))
 
 
+def op2_chosen_path(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.groups(table(spark, root, "documents"), words=3, least=85)
+
+
 def op3_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return classify.toxicity(table(spark, root, "documents"), table(spark, root, "labels"))
 
