@@ -42,7 +42,6 @@ SMALL = 48
 BLOCK = 512
 #: Share of minwise tokens, below the threshold by so many standard deviations, at which a pair is ruled out.
 DEVIATIONS = 4.5
-_MASK = (1 << 64) - 1
 
 
 class WordHashes(dict):

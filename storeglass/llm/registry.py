@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeglass.llm import binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, urls
+from storeglass.llm import binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls
 from storeglass.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_path_templates(spark: SparkSession, root: str) -> DataFrame:
     return urls.judge(table(spark, root, "pages"))
 
 
+def op8_suffix_arrays(spark: SparkSession, root: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, root, "documents"))
+
+
 def op9_packed_matrices(spark: SparkSession, root: str) -> DataFrame:
     return binary.pack_matrices(table(spark, root, "documents"))
 
