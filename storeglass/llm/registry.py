@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from storeglass.llm import binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls
 from storeglass.llm.common import table
 
@@ -51,7 +52,8 @@ def op10_adaptive_quality(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, query in globals().items() if name.startswith("op")}
+    found = {name: query for name, query in globals().items() if name.startswith("op")}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
