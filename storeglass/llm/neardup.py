@@ -12,8 +12,10 @@ and a group is what links connect. Links are found as follows.
 3. In every node that has become small, or that is still large at the last level, all documents are held against one
    pivot, the smallest id. In a group of near copies of any size that links nearly everyone with a linear number of
    comparisons.
-4. What is not yet known to be connected is compared exhaustively, in small nodes among all, in large nodes in blocks
-   of the documents outside the pivot's group against all. The minwise tokens rule out pairs far below the threshold.
+4. What is not yet known to be connected is compared exhaustively: in small nodes pair by pair, after the minwise
+   tokens have ruled out what is far below the threshold; in large nodes (one for all nodes with the same pivot) the
+   documents outside the pivot's group against all, block by block, where a product of two incidence matrices gives
+   all intersections at once and each block reports what it connects, a row per document at most.
 5. Every link is confirmed on the full sets, which are built for the documents in question only.
 6. Components are found by rounds of hashed minimum labels over stored tables.
 
@@ -39,7 +41,7 @@ COORDINATES = 64
 TREES = 10
 LEVELS = 4
 SMALL = 48
-BLOCK = 512
+BLOCK = 256
 #: Share of minwise tokens, below the threshold by so many standard deviations, at which a pair is ruled out.
 DEVIATIONS = 4.5
 
@@ -187,7 +189,7 @@ class Join:
         return rows.select("node", "doc_id", "sig").mapInArrow(run, "node long, doc_id long")
 
     def nodes(self, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(node, doc_id) of the small nodes, and (node, doc_id, pivot, size) of those still large at the last level."""
+        """(node, doc_id) of the small nodes, and (pivot, doc_id) of those still large at the last level."""
         rows, small = self.roots(reps), None
         for level in range(LEVELS):
             rows = stored(rows, "level")
@@ -199,13 +201,14 @@ class Join:
             large = held.filter(F.col("size") > SMALL)
             if level + 1 < LEVELS:
                 rows = self.branch(large.join(reps.select("doc_id", "sig"), "doc_id"))
-        return small, large
+        return small, stored(large.select("pivot", "doc_id").distinct(), "large")
 
     # -- candidates
 
     def groupwise(self, rows: DataFrame, keys: list[str], pairs_of) -> DataFrame:
-        """Candidate pairs (a, b, star) of groups of bounded size, which are told apart by sorting the partitions."""
-        spread = rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "doc_id", "n", "sig", "side")
+        """Pairs (a, b, star) of groups of bounded size, which are told apart by sorting the partitions. `rows` has the
+        keys, doc_id, n, a binary column and side."""
+        spread = rows.repartition(*keys).sortWithinPartitions(*keys)
         width = len(keys)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,11 +217,11 @@ class Join:
             def flush(table: pa.Table) -> pa.RecordBatch:
                 key = np.stack([table.column(k).to_numpy() for k in range(width)])
                 ids, n, side = (table.column(width + k).to_numpy() for k in (0, 1, 3))
-                sig = signatures(table.column(width + 2))
+                payload = table.column(width + 2)
                 cuts = np.append(np.nonzero((key[:, 1:] != key[:, :-1]).any(axis=0))[0] + 1, len(ids))
                 out, low = [], 0
                 for high in cuts:
-                    found = pairs_of(self, ids[low:high], n[low:high], sig[low:high], side[low:high])
+                    found = pairs_of(self, ids[low:high], n[low:high], payload.slice(low, high - low), side[low:high])
                     if len(found):
                         out.append(found)
                     low = high
@@ -264,21 +267,19 @@ class Join:
         small, large = self.nodes(reps)
         with_sig = reps.select("doc_id", "n", "sig")
         inner = self.groupwise(
-            small.join(with_sig, "doc_id").withColumn("side", F.lit(0)), ["node"], pairs_in_node)
+            small.join(with_sig, "doc_id").select("node", "doc_id", "n", "sig", F.lit(0).alias("side")), ["node"], pairs_in_node)
         pivots = with_sig.select(F.col("doc_id").alias("pivot"), F.col("n").alias("pn"), F.col("sig").alias("psig"))
-        stars = large.filter("doc_id > pivot").select("pivot", "doc_id").distinct().join(with_sig, "doc_id").join(
-            pivots, "pivot")
+        stars = large.filter("doc_id > pivot").join(with_sig, "doc_id").join(pivots, "pivot")
         pairs = stored(inner.unionByName(self.likely(stars)).groupBy("a", "b").agg(F.max("star").alias("star")), "pairs")
         links = stored(self.confirmed(pairs.filter("star"), docs), "links")
         known = components(links)
-        rest = [unjoined(pairs.filter("NOT star"), known)]
-        outside = self.outside(large, known)
+        further = self.confirmed(stored(unjoined(pairs.filter("NOT star"), known), "further"), docs)
+        outside = self.outside(large, known, docs)
         if outside is not None:
-            rest.append(unjoined(self.groupwise(outside.join(with_sig, "doc_id"), ["node", "part", "other"], pairs_of_sides), known))
-        further = stored(rest[0].unionByName(rest[1]).distinct() if len(rest) > 1 else rest[0], "further")
-        if further.isEmpty():
-            return known
-        return components(stored(links.unionByName(self.confirmed(further, docs)), "links"))
+            further = further.unionByName(
+                self.groupwise(outside, ["node", "part", "other"], links_of_sides).select("a", "b"))
+        further = stored(further, "links")
+        return known if further.isEmpty() else components(stored(links.unionByName(further), "links"))
 
     def likely(self, stars: DataFrame) -> DataFrame:
         """Pairs with a pivot that the minwise tokens do not rule out."""
@@ -295,32 +296,38 @@ class Join:
         return stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"), "n", "pn", "sig", "psig").mapInArrow(
             run, "a long, b long, star boolean")
 
-    def outside(self, large: DataFrame, known: DataFrame) -> DataFrame | None:
+    def outside(self, large: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame | None:
         """Blocks that hold the documents of large nodes which are not in their pivot's group against all of the node.
 
-        Both sides are dealt into blocks of about BLOCK documents; a block pair is a group (node, part, other).
+        Both sides are dealt into blocks of about BLOCK documents with their full sets; a block pair is a group (node,
+        part, other).
         """
         of = small_or_not(known)
         named = large.join(of, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pivot = of.select(F.col("doc_id").alias("pivot"), F.col("label").alias("pivot_label"))
-        named = named.join(pivot, "pivot", "left").withColumn(
-            "out", F.col("label") != F.coalesce("pivot_label", "pivot")).select("node", "doc_id", "size", "out")
-        counts = stored(named.filter("out").groupBy("node").agg(F.count("*").alias("n_out")), "outside")
+        named = stored(named.join(pivot, "pivot", "left").select(
+            F.col("pivot").alias("node"), "doc_id", (F.col("label") != F.coalesce("pivot_label", "pivot")).alias("out")), "named")
+        counts = stored(named.groupBy("node").agg(
+            F.count("*").alias("size"), F.count(F.when(F.col("out"), 1)).alias("n_out")).filter("n_out > 0"), "outside")
         if counts.isEmpty():
             return None
-        named = stored(named.join(small_or_not(counts), "node"), "outside")
+        named = named.join(small_or_not(counts), "node")
+        ids = stored(named.select("doc_id").distinct(), "ids")
+        sets = stored(self.sets(docs, ids).dropDuplicates(["doc_id"]), "sets")
+        named = stored(named.join(sets, "doc_id"), "outside")
         parts, others = F.ceil(F.col("n_out") / BLOCK), F.ceil(F.col("size") / BLOCK)
         place = lambda n: F.pmod(F.xxhash64("doc_id"), n)
         every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-        left = named.filter("out").select("node", "doc_id", F.lit(1).alias("side"), place(parts).alias("part"), every(others).alias("other"))
-        right = named.select("node", "doc_id", F.lit(2).alias("side"), every(parts).alias("part"), place(others).alias("other"))
+        show = ["doc_id", (F.length("tokens") / 8).cast("long").alias("n"), "tokens"]
+        left = named.filter("out").select("node", place(parts).alias("part"), every(others).alias("other"), *show, F.lit(1).alias("side"))
+        right = named.select("node", every(parts).alias("part"), place(others).alias("other"), *show, F.lit(2).alias("side"))
         return left.unionByName(right)
 
 
-def pairs_in_node(join: Join, ids: np.ndarray, n: np.ndarray, sig: np.ndarray, side: np.ndarray) -> np.ndarray:
+def pairs_in_node(join: Join, ids: np.ndarray, n: np.ndarray, payload: pa.ChunkedArray, side: np.ndarray) -> np.ndarray:
     """All candidate pairs of a small node; `star` marks those with the smallest partner of the larger id."""
     order = np.argsort(ids)
-    ids, n, sig = ids[order], n[order], sig[order]
+    ids, n, sig = ids[order], n[order], signatures(payload)[order]
     rows, columns = join.alike(sig, n, sig, n)
     rows, columns = rows[rows < columns], columns[rows < columns]
     seen: set[int] = set()
@@ -328,11 +335,38 @@ def pairs_in_node(join: Join, ids: np.ndarray, n: np.ndarray, sig: np.ndarray, s
     return np.stack([ids[rows], ids[columns], np.array(star, np.int64)], axis=1)
 
 
-def pairs_of_sides(join: Join, ids: np.ndarray, n: np.ndarray, sig: np.ndarray, side: np.ndarray) -> np.ndarray:
-    one, two = side == 1, side == 2
-    rows, columns = join.alike(sig[one], n[one], sig[two], n[two])
-    a, b = ids[one][rows], ids[two][columns]
-    return np.stack([np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)], axis=1)[a != b]
+def links_of_sides(join: Join, ids: np.ndarray, n: np.ndarray, payload: pa.ChunkedArray, side: np.ndarray) -> np.ndarray:
+    """What the links between two blocks connect: (smallest document of the connected ones, document).
+
+    Intersections are sums over tokens of the product of two 0/1 matrices, taken for some columns at a time; tokens of
+    one document only have no part in them.
+    """
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in payload]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    tokens, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.nonzero(uses > 1)[0]
+    number = np.full(len(tokens), -1)
+    number[shared] = np.arange(len(shared))
+    column = number[column]
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    one, two = np.nonzero(side == 1)[0], np.nonzero(side == 2)[0]
+    common = np.zeros((len(one), len(two)), np.float32)
+    for low in range(0, len(shared), 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        present = np.zeros((len(ids), 4096), np.float32)
+        present[owner[a:b], column[a:b] - low] = 1
+        common += present[one] @ present[two].T
+    linked = join.out_of * common >= join.least * (n[one][:, None] + n[two] - common)
+    far = np.iinfo(np.int64).max
+    left, right, before = ids[one], ids[two], None
+    while before is None or (left != before[0]).any() or (right != before[1]).any():
+        before = left, right
+        left = np.minimum(left, np.where(linked, right, far).min(axis=1, initial=far))
+        right = np.minimum(right, np.where(linked, left[:, None], far).min(axis=0, initial=far))
+    b, a = np.append(ids[one], ids[two]), np.append(left, right)
+    return np.stack([a, b, np.zeros(len(a), np.int64)], axis=1)[a != b]
 
 
 def unjoined(pairs: DataFrame, known: DataFrame) -> DataFrame:
