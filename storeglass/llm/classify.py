@@ -14,9 +14,10 @@ language is the only one known (`und` if none), with score 0; other columns are
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from storeglass.llm import subwords
 from storeglass.llm.common import texts
@@ -24,6 +25,8 @@ from storeglass.llm.common import texts
 #: Rows per label that the models are fitted on.
 TOXIC_PER_CLASS = 2500
 LANGUAGE_PER_CLASS = 400
+#: Languages that are learned, the most frequent ones.
+LANGUAGES = 100
 UNKNOWN = "und"
 #: Decision point of the toxicity score, and the least calibrated probability of an accepted language.
 TOXIC_FROM = 0.7
@@ -34,9 +37,18 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(by)), F.lit(-1))
 
 
-def collected(chosen: DataFrame) -> list[tuple[str, object]]:
-    """(text, label) of a bounded sample in an order that mixes the labels and does not depend on partitions."""
-    rows = chosen.select("doc_id", "label", "text", F.xxhash64("doc_id").alias("at")).toArrow().to_pylist()
+def sample(docs: DataFrame, labelled: DataFrame, labels: list, per_class: int) -> list[tuple[str, object]]:
+    """(text, label) of the first `per_class` ids of each label by hash, in an order that mixes the labels.
+
+    The ids are cut label by label within tasks (top rows of an order), without the texts. At most per_class ids a label
+    are broadcast to fetch the texts, and these texts alone reach the driver.
+    """
+    at = F.xxhash64("doc_id")
+    tops = [labelled.filter(F.col("label") == k).distinct().orderBy(at, "doc_id").limit(per_class) for k in labels]
+    if not tops:
+        return []
+    chosen = F.broadcast(reduce(DataFrame.unionByName, tops))
+    rows = texts(docs).filter("text IS NOT NULL").join(chosen, "doc_id").withColumn("at", at).toArrow().to_pylist()
     return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["at"], r["doc_id"], str(r["label"]), r["text"]))]
 
 
@@ -63,17 +75,10 @@ def scored(docs: DataFrame, model, answer: Callable, schema: str, types: list[pa
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = TOXIC_PER_CLASS) -> DataFrame:
-    """doc_id, held_out, score, predicted. Rows with crc32(doc_id) mod 3 = 1 teach nothing.
-
-    Labels are few next to documents: they are reduced to the rows that may teach, and joined before texts are cut.
-    """
+    """doc_id, held_out, score, predicted. Rows with crc32(doc_id) mod 3 = 1 teach nothing."""
     teaching = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     teaching = teaching.filter((remainder(F.col("doc_id"), 3) != 1) & F.col("label").isin(0, 1))
-    # Top rows per label are found within tasks, on ids alone: at most 2 * per_class ids are broadcast.
-    by_label = [teaching.filter(F.col("label") == k).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-                for k in (0, 1)]
-    first = F.broadcast(by_label[0].unionByName(by_label[1]))
-    rows = collected(texts(docs).filter("text IS NOT NULL").join(first, "doc_id"))
+    rows = sample(docs, teaching, [0, 1], per_class)
     model = fit(rows, subwords.train_words)
     if model is None:
         out = texts(docs).select("doc_id", F.lit(0.5).alias("score"))
@@ -92,12 +97,10 @@ def language(docs: DataFrame, per_class: int = LANGUAGE_PER_CLASS, accepted_from
     `accepted_from`, so that a caller can treat the text as of no known language.
     """
     labelled = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.col("lang").cast("string").alias("label")).filter(remainder(F.col("doc_id"), 5) != 0)
-    # Below 1000 rows a label the window cuts every label within the map tasks (WindowGroupLimit).
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    rows = collected(labelled.filter("text IS NOT NULL AND label IS NOT NULL AND doc_id IS NOT NULL").withColumn(
-        "place", F.row_number().over(order)).filter(F.col("place") <= per_class))
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("label")
+    ).filter((remainder(F.col("doc_id"), 5) != 0) & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    common = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
+    rows = sample(docs, labelled, sorted(row["label"] for row in common.collect()), per_class)
     model = fit(rows, subwords.train)
     only = next(iter({label for _, label in rows}), UNKNOWN)
 
