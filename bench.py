@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from checks import registry
@@ -35,6 +36,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", "bench", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     jobs = registry.queries()

@@ -501,8 +501,8 @@ def oracle_sql() -> dict[str, str]:
         ORDER BY n DESC, 1 LIMIT 5""")
     out["q49b_log_time_trend"] = _sql("""
         WITH x AS (SELECT CAST(floor(epoch(log_timestamp)) AS BIGINT) AS s, execution_time_ms FROM pl WHERE execution_time_ms IS NOT NULL),
-        g AS (SELECT coalesce(min(step) FILTER (spread <= step * 100), 86400) AS step FROM (SELECT max(s) - min(s) AS spread FROM x),
-              (SELECT unnest([1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400]) AS step))
+        g AS (SELECT coalesce(min(step) FILTER (spread <= step * 100), 315360000) AS step FROM (SELECT max(s) - min(s) AS spread FROM x),
+              (SELECT unnest([1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400, 604800, 2592000, 7776000, 31536000, 315360000]::BIGINT[]) AS step))
         SELECT make_timestamp(s // step * step * 1000000) AS bucket, avg(execution_time_ms) AS avg_ms FROM x, g GROUP BY 1""", "avg_ms", "bucket")
     out["q49c_log_by_type"] = _sql("SELECT query_type, count(*) AS n FROM pl GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
     timed = "FROM pl WHERE execution_time_ms IS NOT NULL GROUP BY sql_query"

@@ -19,15 +19,18 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
 
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "inner",
-    limit: int | None = None, salts: int = SALTS,
+    limit: int | None = None, salts: int = SALTS, sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """facts join lookup on `key` (unique in lookup).
 
     A lookup of checked small size is broadcast and nothing is shuffled. A larger one is joined on (key, salt): the
     facts of one key are spread over `salts` tasks by the hash of `spread_by`, each lookup row is repeated per salt.
     One key with a third of the facts thus never ends up in one task; adaptive execution can split further.
+
+    The planner puts a joined frame at the product of its inputs. Where `lookup` is a table with columns of others joined
+    on their unique keys, `sized_by` names that table: it has as many rows, and twice its size is taken as the bound.
     """
-    if is_small(lookup, limit):
+    if is_small(lookup, limit) or sized_by is not None and 2 * planned_bytes(sized_by) <= (limit or BROADCAST_BYTES):
         return facts.join(F.broadcast(lookup), key, how)
     salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = facts.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int"))

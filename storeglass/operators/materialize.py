@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
+    """The folder named in spark.checkpoint.dir, which all machines see. Only a local session may name none and gets a
+    temporary one, deleted at its end; a cluster's executors would each write to their own disk there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="storeglass-")
+        folder = context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="storeglass-")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"file://{os.path.abspath(folder)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from storeglass.operators.lookup import lookup_join
+
 from storeglass.functions.exprs import at
 
 
@@ -18,7 +20,8 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def check_fk(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Rows whose key has no parent; a null key is allowed."""
     parents = parent.select(F.col(parent_key or key).alias(key))
-    return df.filter(F.col(key).isNotNull()).join(parents, key, "left_anti")
+    other = next((c for c in df.columns if c != key), key)
+    return lookup_join(df.filter(F.col(key).isNotNull()), parents, key, spread_by=other, how="left_anti")
 
 
 def check_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -9,7 +9,7 @@ from storeglass.functions.exprs import (
 )
 from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.materialize import materialize
-from storeglass.operators.ranking import global_positions, probe_ranks
+from storeglass.operators.ranking import probe_ranks
 from storeglass.plans.sales import line_value, name_categories, sales_lines, with_category
 
 
@@ -24,7 +24,7 @@ def cohort_retention(t, as_of, months: int = 18, periods: int = 12) -> DataFrame
         F.sum(line_value()).alias("order_value"))
     period = F.months_between(month_of("ordered_at"), F.col("cohort_month")).cast("int")
     cells = (
-        orders.join(first, "user_id").withColumn("period_number", period)
+        lookup_join(orders, first, "user_id", spread_by="order_id").withColumn("period_number", period)
         .filter(F.col("period_number").between(0, periods))
         .groupBy("cohort_month", "period_number")
         .agg(F.countDistinct("user_id").alias("customers"), F.count("*").alias("orders"),
@@ -76,22 +76,23 @@ def top_customers(t, as_of, days: int = 90, limit: int = 20, dedup_fanout: bool
         F.col("total_spent") / 1000 * 0.4 + F.col("total_orders") * 2 * 0.3
         + F.col("unique_products_purchased") * 0.2 + F.col("active_months") * 3 * 0.1
     )
-    scored = materialize(metrics.join(t.users.select("user_id", "name", "email"), "user_id").withColumn(
+    # Names are fetched for the shown users only; a user without a row in the table does not count.
+    scored = materialize(metrics.join(t.users.select("user_id"), "user_id", "left_semi").withColumn(
         "customer_value_score", score))
     best_first = [F.desc("customer_value_score"), F.asc("user_id")]
-    shown = scored.orderBy(*best_first).limit(limit)
+    shown = enrich_rows(
+        scored.orderBy(*best_first).limit(limit), t.users.select("user_id", "name", "email"), "user_id", limit)
     # Rank 1 of all customers is the first shown row, so its score is the maximum.
     over_shown = Window.orderBy(*best_first)
     shown = shown.withColumn("value_rank", F.row_number().over(over_shown)).withColumn(
         "_max", F.first("customer_value_score").over(over_shown))
-    if limit <= 200:
-        spending = F.struct("total_spent", (-F.col("user_id")).alias("user") if _numeric(scored, "user_id")
-                            else F.col("user_id").alias("user")).alias("_spending")
-        ranks = probe_ranks(shown.select(spending), scored.select(spending), None, "_spending", "spending_rank")
-        shown = shown.withColumn("_spending", spending).join(ranks, "_spending")
-    else:
-        placed = global_positions(scored.select("user_id", "total_spent"), [F.desc("total_spent"), F.asc("user_id")], "spending_rank")
-        shown = shown.join(placed.select("user_id", "spending_rank"), "user_id")
+    # Users who spent more, and of those who spent the same the ones with a smaller id, whatever the id's type.
+    more = probe_ranks(shown.select("total_spent").distinct(), scored.select("total_spent"), None, "total_spent", "_more")
+    asked = F.broadcast(shown.select("total_spent", F.col("user_id").alias("_of")))  # `limit` rows
+    before = scored.select("user_id", "total_spent").join(asked, "total_spent").filter(F.col("user_id") < F.col("_of")).groupBy(
+        F.col("_of").alias("user_id")).agg(F.count("*").alias("_before"))
+    shown = shown.join(more, "total_spent").join(before, "user_id", "left").withColumn(
+        "spending_rank", F.col("_more") + F.coalesce("_before", F.lit(0)))
     seen = F.col("last_order_date")
     recent = lambda n: seen >= at(days_before(as_of, n))
     shown = shown.select(
@@ -108,10 +109,6 @@ def top_customers(t, as_of, days: int = 90, limit: int = 20, dedup_fanout: bool
     return joined.select("user_id", "name", "email", "join_date", *shown.columns[3:]).orderBy("value_rank")
 
 
-def _numeric(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() in ("long", "integer", "short", "byte")
-
-
 def user_summary(t, limit: int = 500) -> DataFrame:
     """Orders and spending per user; users without any order stay, users with unsold orders only go."""
     kept = F.col("status").isin(*SOLD_OR_COMPLETED) | F.col("status").isNull()

@@ -9,25 +9,24 @@ from storeglass.operators.lookup import lookup_join
 from storeglass.sources.lake import extract_since
 
 
-def order_documents(t, hwm=None, as_of=None, lists: bool = True) -> DataFrame:
+def order_documents(t, hwm=None, as_of=None, lists: bool = True, at_mark: bool = False) -> DataFrame:
     """Documents of the orders created or changed after the mark `hwm`; all orders without a mark.
 
     Names are joined to the product table before it meets the lines. Lines of unknown products and orders without any
     line or without a known user give no entry, as the inner joins of the extract want it. Without `lists` the item
     lists are left out, which is enough for the charts.
     """
-    orders = extract_since(t.orders, hwm)
-    named = (
-        t.products.select("product_id", F.col("name").alias("product_name"), "category_id", "brand_id")
-        .join(t.categories.select("category_id", F.col("name").alias("category")), "category_id")
-        .join(t.brands.select("brand_id", F.col("name").alias("brand")), "brand_id")
-        .select("product_id", "product_name", "category", "brand")
-    )
+    orders = extract_since(t.orders, hwm, at_mark)
+    products = t.products.select("product_id", F.col("name").alias("product_name"), "category_id", "brand_id")
+    categories = t.categories.select("category_id", F.col("name").alias("category"))
+    brands = t.brands.select("brand_id", F.col("name").alias("brand"))
+    named = lookup_join(lookup_join(products, categories, "category_id", spread_by="product_id"),
+                        brands, "brand_id", spread_by="product_id").select("product_id", "product_name", "category", "brand")
     lines = t.order_items
     if hwm is not None:
         lines = lines.join(orders.select("order_id"), "order_id", "left_semi")
     item = F.struct("order_item_id", "product_id", "product_name", "category", "brand", "quantity", "unit_price", "total_price")
-    joined = lookup_join(lines, named, "product_id", spread_by="order_id")
+    joined = lookup_join(lines, named, "product_id", spread_by="order_id", sized_by=products)
     sums = [F.count("*").cast("int").alias("items_count"), F.sum("quantity").alias("total_quantity")]
     if lists:
         values = lambda name: F.array_sort(F.array_distinct(F.transform("items", lambda i: i[name])))

@@ -138,8 +138,12 @@ def category_tree(t, as_of, months: int = 3, max_depth: int = 10) -> DataFrame:
         """,
         tree=t.category_tree, depth=max_depth,
     )
-    recent = sales_lines(t, months_before(as_of, months), as_of).select(
-        "product_id", "order_id", "user_id", line_value().alias("value"))
+    # Lines of an order without a date, or of no known order, count as well; the latter have no order and no user.
+    orders = t.orders.select(F.col("order_id").alias("_order"), "user_id", "created_at")
+    recent = t.order_items.select("order_id", "product_id", "quantity", "unit_price", "total_price").join(
+        orders, F.col("order_id") == F.col("_order"), "left").filter(
+        F.col("created_at").isNull() | span("created_at", months_before(as_of, months), as_of)).select(
+        "product_id", F.col("_order").alias("order_id"), "user_id", line_value().alias("value"))
     never = t.products.select("product_id").join(t.order_items.select("product_id").distinct(), "product_id", "left_anti")
     kept = recent.unionByName(never, allowMissingColumns=True)
     owner = "tree_category_id" if "tree_category_id" in t.products.columns else "category_id"
@@ -416,12 +420,17 @@ def recommendation_score(t, pairs: DataFrame) -> DataFrame:
         F.col("_rating") * F.lit(0.4).cast("decimal(2,1)") + F.col("_popularity") * F.lit(0.4).cast("decimal(2,1)")
         + F.coalesce("_liking", F.lit(0).cast(fixed)) * F.lit(0.2).cast("decimal(2,1)")
     ).cast(fixed)
-    return pairs.select("user_id", "product_id").join(parts, "product_id", "left").join(liking, "user_id", "left").select(
+    scored = lookup_join(pairs.select("user_id", "product_id"), parts, "product_id", spread_by="user_id", how="left")
+    return lookup_join(scored, liking, "user_id", spread_by="product_id", how="left").select(
         "user_id", "product_id", F.greatest(total, F.lit(0).cast(fixed)).alias("score"))
 
 
 def daily_summary(t, dates: list | None = None) -> DataFrame:
-    """Totals of the sold orders of a day, with the category and the product of the highest quantity in all its orders."""
+    """Totals of the sold orders of a day, with the category and the product of the highest quantity in all its orders.
+
+    Days that are asked for by `dates` each have a row; without orders it has zero counts and no sums, so that an upsert
+    clears a day whose orders are gone.
+    """
     orders = t.orders
     if dates is not None:
         days = [F.lit(str(d)).cast("date") for d in dates]
@@ -444,5 +453,11 @@ def daily_summary(t, dates: list | None = None) -> DataFrame:
     per_category = per_product.join(t.products.select("product_id", "category_id"), "product_id").groupBy(
         "summary_date", "category_id").agg(F.sum("_sold").alias("_sold"))
     top_category = name_categories(t, per_category).groupBy("summary_date").agg(best("category").alias("top_category"))
+    if dates is not None:
+        asked = t.orders.sparkSession.createDataFrame([(str(d),) for d in dict.fromkeys(dates)], "d string").select(
+            F.col("d").cast("date").alias("summary_date"))
+        zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+        totals = asked.join(totals, "summary_date", "left").select(
+            "summary_date", zero("total_orders"), "total_revenue", zero("unique_customers"), "avg_order_value")
     return totals.join(top_category, "summary_date", "left").join(top_product, "summary_date", "left").select(
         "summary_date", "total_orders", "total_revenue", "unique_customers", "avg_order_value", "top_category", "top_product")

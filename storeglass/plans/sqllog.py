@@ -14,8 +14,8 @@ LOG_TYPES = {
 }
 SLOW_MS, MEDIUM_MS = 1000, 500
 KEYWORDS = ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE")
-# Steps of the time histogram in seconds, second to day.
-STEPS = (1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400)
+# Steps of the time histogram in seconds, second to day, then 7, 30, 90, 365 and 3650 days.
+STEPS = (1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400, 604800, 2592000, 7776000, 31536000, 315360000)
 
 
 def epoch() -> Column:

@@ -5,22 +5,25 @@ One writer per path is assumed. Every write is idempotent: running it again with
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from storeglass.functions.exprs import at
 from storeglass.operators.materialize import materialize
 
-PARTITION_LIST = 10_000  # touched partitions are listed for static pruning up to this number
 
+def extract_since(df: DataFrame, hwm=None, at_mark: bool = False) -> DataFrame:
+    """Rows created or changed after the mark; everything without one. No cap: what is not read now is never read.
 
-def extract_since(df: DataFrame, hwm=None) -> DataFrame:
-    """Rows created or changed after the mark; everything without one. No cap: what is not read now is never read."""
+    `at_mark` reads rows with the very time of the mark as well, since more of them may have arrived after it was taken.
+    """
     if hwm is None:
         return df
-    return df.filter((F.col("created_at") > at(hwm)) | (F.col("updated_at") > at(hwm)))
+    mark = at(hwm)
+    if at_mark:
+        return df.filter((F.col("created_at") >= mark) | (F.col("updated_at") >= mark))
+    return df.filter((F.col("created_at") > mark) | (F.col("updated_at") > mark))
 
 
 def next_mark(df: DataFrame):
@@ -61,21 +64,25 @@ def upsert_partitioned(
     """Merge rows into a partitioned table: per key the row with the highest `order_col` stays, a new one on equality.
 
     A key lives in one partition. Only partitions that get rows are read and rewritten (dynamic overwrite); the merged
-    rows are checkpointed first, so that nothing is overwritten while it is still needed.
+    rows are checkpointed first, so that nothing is overwritten while it is still needed. The touched partitions, one
+    row per folder that is about to be written, come to the driver: the values of each partition column prune the scan
+    (a flat IN, whatever their number), the broadcast of the rows leaves exactly those partitions.
     """
     spark = df.sparkSession
     existing = read_if_exists(spark, path, format, df.schema)
     marked = df.withColumn("_new", F.lit(1))
     if existing is not None:
-        touched = df.select(*partitions).distinct()
-        listed = touched.take(PARTITION_LIST + 1)
-        if len(listed) <= PARTITION_LIST:
-            hit = reduce(Column.__or__, (
-                reduce(Column.__and__, (F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions)) for row in listed
-            ), F.lit(False))
-            existing = existing.filter(hit)
-        else:
-            existing = existing.join(touched, partitions, "left_semi")
+        touched = df.select(*partitions).distinct().collect()
+        if not touched:
+            return
+        same = F.lit(True)
+        for name in partitions:
+            values = {row[name] for row in touched}
+            hit = F.col(name).isin(*sorted(values - {None}))
+            existing = existing.filter(hit | F.col(name).isNull() if None in values else hit)
+            same = same & F.col(name).eqNullSafe(F.col(f"_touched_{name}"))
+        schema = StructType([StructField(f"_touched_{f.name}", f.dataType) for f in df.select(*partitions).schema])
+        existing = existing.join(F.broadcast(spark.createDataFrame(touched, schema)), same, "left_semi")
         marked = existing.select(*df.columns).withColumn("_new", F.lit(0)).unionByName(marked)
     merged = keep_last(marked, keys, [F.col(order_col), F.col("_new")]).drop("_new")
     writer = materialize(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from storeglass.functions.exprs import at
 from storeglass.operators.materialize import materialize
 from storeglass.plans import behavior, etl
 from storeglass.plans.recommend import affinity_from_pairs, als_recommendations, interactions
@@ -38,6 +39,45 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partitions: tuple[str,
         "partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").parquet(path)
 
 
+def fresh_events(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The events of a batch that no earlier batch brought, each once (a stored frame with event_date).
+
+    Ids that were taken are kept per day under `seen`; a batch reads those of its own days only, and a replayed batch
+    leaves out what it wrote itself, so it gives the same rows again. Events without an id cannot be told apart and pass.
+    """
+    spark = batch.sparkSession
+    dated = batch.withColumn("event_date", F.to_date("ts"))
+    named = dated.filter("event_id IS NOT NULL").dropDuplicates(["event_id"])
+    seen = read_if_exists(spark, f"{path}/seen")
+    if seen is not None:
+        days = [row["event_date"] for row in named.select("event_date").distinct().collect()]
+        earlier = seen.filter(F.col("event_date").isin(days) & (F.col("batch_id") != batch_id)).select("event_id")
+        named = named.join(earlier, "event_id", "left_anti").select(*dated.columns)
+    rows = materialize(named.unionByName(dated.filter("event_id IS NULL")))
+    append_batch(rows.filter("event_id IS NOT NULL").select("event_id", "event_date"), f"{path}/seen", batch_id, ("event_date",))
+    return rows
+
+
+def latest_time(spark: SparkSession, path: str, rows: DataFrame):
+    """Latest event time so far, from a stored mark and the rows of the batch."""
+    known, here = read_mark(spark, f"{path}/latest"), rows.agg(F.max("ts").alias("last")).first()["last"]
+    latest = max(x for x in (here, datetime.fromisoformat(known) if known else None) if x is not None)
+    write_mark(spark, f"{path}/latest", latest)
+    return latest
+
+
+def drop_folded(spark: SparkSession, path: str, before: int) -> None:
+    """Removes the parts and folds that a later fold holds: batches up to `before`, folds older than it."""
+    jvm = spark._jvm
+    for folder, name, last in (("rating_sums", "batch_id", before), ("rating_base", "version", before - 1)):
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(place):
+            found = status.getPath().getName()
+            if found.startswith(f"{name}=") and int(found.partition("=")[2]) <= last:
+                files.delete(status.getPath(), True)
+
+
 def route_by_type(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> list[StreamingQuery]:
     """Events once by type and once all together."""
     return [
@@ -71,15 +111,16 @@ def run_recommender(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = materialize(batch)
+        rows = fresh_events(batch, path, batch_id)
         if rows.isEmpty():
             return
-        append_batch(rows.withColumn("event_date", F.to_date("ts")), f"{path}/events", batch_id, ("event_date",))
+        append_batch(rows, f"{path}/events", batch_id, ("event_date",))
+        rows = rows.drop("event_date")
         append_batch(interactions(rows), f"{path}/rating_sums", batch_id)
         if batch_id % compact_every == compact_every - 1:
             compact_sums(spark, path, batch_id)
         events = spark.read.parquet(f"{path}/events")
-        as_of = events.agg(F.max("ts").alias("last")).first()["last"]
+        as_of = latest_time(spark, path, rows)
         ratings = rating_table(spark, path)
         if ratings.limit(min_ratings + 1).count() > min_ratings:
             recs = als_recommendations(ratings, n, seed)
@@ -120,8 +161,12 @@ def interaction_sums(spark: SparkSession, path: str, upto: int | None = None) ->
 
 def compact_sums(spark: SparkSession, path: str, batch_id: int) -> None:
     """Folds the sums of all batches up to this one. Nothing read is overwritten, and a repeated fold is the same."""
+    before = read_if_exists(spark, f"{path}/rating_base")
+    last = None if before is None else before.filter(F.col("version") < batch_id).agg(F.max("version").alias("v")).first()["v"]
     interaction_sums(spark, path, batch_id).withColumn("version", F.lit(batch_id).cast("bigint")).write.mode(
         "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{path}/rating_base")
+    if last is not None:  # the fold before this one stays for readers that began with it
+        drop_folded(spark, path, last)
 
 
 def rating_table(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +183,7 @@ def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, i
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        append_batch(interactions(batch), f"{path}/rating_sums", batch_id)
+        append_batch(interactions(fresh_events(batch, path, batch_id).drop("event_date")), f"{path}/rating_sums", batch_id)
         if batch_id % compact_every == compact_every - 1:
             compact_sums(spark, path, batch_id)
         pairs = interaction_sums(spark, path)
@@ -152,7 +197,7 @@ def derive_tables(stream: DataFrame, path: str, checkpoint: str, interval: str |
     """Events -> orders and lines, cart increments, behaviour log."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = materialize(batch)
+        rows = fresh_events(batch, path, batch_id).drop("event_date")
         orders, items = behavior.orders_from_purchases(rows)
         append_batch(orders, f"{path}/orders", batch_id)
         append_batch(items, f"{path}/order_items", batch_id)
@@ -173,7 +218,14 @@ def run_orders_etl(t, spark: SparkSession, path: str, as_of=None, buckets: int =
     keyed document table. False when there was nothing to do. The mark moves after the writes, so a failed run repeats.
     """
     mark = read_mark(spark, f"{path}/mark")
-    documents = materialize(etl.order_documents(t, mark, as_of))
+    documents = etl.order_documents(t, mark, as_of, at_mark=True)
+    stored = read_if_exists(spark, f"{path}/documents")
+    if mark is not None and stored is not None:
+        # Orders with the very time of the mark are read again; those that were loaded in this state drop out.
+        time = F.greatest("created_at", "updated_at").alias("_time")
+        loaded = stored.select("order_id", time).filter(F.col("_time") == at(mark))
+        documents = documents.withColumn("_time", time).join(loaded, ["order_id", "_time"], "left_anti").drop("_time")
+    documents = materialize(documents)
     if documents.isEmpty():
         return False
     hours = ["year", "month", "day", "hour"]

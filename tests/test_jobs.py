@@ -238,3 +238,39 @@ def test_dashboard_sections_as_json(spark, star):
     assert set(rows) == {"overview", "categories", "daily_trends", "top_products"}
     sold = [p["total_sold"] for p in rows["top_products"]]
     assert sold == sorted(sold, reverse=True) and rows["overview"]["total_orders"] == 1500
+
+
+@pytest.mark.parametrize("limit", [2, 20, 300])
+def test_spending_ties_go_by_id_whatever_its_type(spark, limit):
+    t = make(spark, [1, 2, 3, 10], [product(1)], [(n, u, D, "shipped", 50) for n, u in enumerate([1, 2, 3, 10])],
+             [(n, 1, 1, 50) for n in range(4)])
+    text = lambda df: df.withColumn("user_id", F.concat(F.lit("user_"), "user_id"))
+    by_text = Tables(**{**vars(t), "users": text(t.users), "orders": text(t.orders), "signups": text(t.signups)})
+    for tables, ids in ((t, [1, 2, 3, 10]), (by_text, ["user_1", "user_10", "user_2", "user_3"])):
+        rows = customers.top_customers(tables, AS_OF, limit=limit).collect()
+        assert [(r.user_id, r.spending_rank) for r in rows] == [(i, k + 1) for k, i in enumerate(ids)][:limit]
+
+
+def test_asked_day_without_orders_has_a_zero_row(spark):
+    t = make(spark, [1], [product(1)], [(1, 1, D, "shipped", 20)], [(1, 1, 2, 10)])
+    rows = {str(r.summary_date): tuple(r)[1:] for r in sales.daily_summary(t, ["2024-06-20", "2024-06-21"]).collect()}
+    assert rows["2024-06-20"][:2] == (1, 20.0) and rows["2024-06-21"] == (0, None, 0, None, None, None)
+
+
+def test_category_tree_keeps_lines_without_a_dated_order(spark):
+    tree = spark.createDataFrame([(1, "Toys", None), (2, "Books", None)], "category_id int, name string, parent_category_id int")
+    t = make(spark, [1], [product(1), product(2, category=2)], [(1, 1, None, "shipped", 20), (2, 1, dt(2020, 1, 1), "shipped", 9)],
+             [(1, 1, 2, 10), (77, 1, 1, 5), (2, 1, 1, 9), (2, 2, 1, 9)], category_tree=tree)
+    rows = [(r.name, r.product_count, r.order_count, r.total_revenue) for r in sales.category_tree(t, AS_OF).collect()]
+    assert rows == [("Toys", 1, 1, 25.0)]
+
+
+def test_small_joined_lookup_is_broadcast(spark, star):
+    plan = etl.order_documents(star, as_of="2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in plan and plan.count("BroadcastHashJoin") >= 3
+
+
+def test_time_steps_beyond_a_day(spark):
+    log = spark.sql("SELECT timestamp_ntz'2020-01-01' + make_dt_interval(d * 10) AS log_timestamp, 1.0D AS execution_time_ms "
+                    "FROM (SELECT explode(sequence(0, 150)) AS d)")
+    assert sqllog.log_time_trend(log, buckets=100).count() <= 101

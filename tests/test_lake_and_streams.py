@@ -204,3 +204,44 @@ def test_trending_stream_is_close_to_batch(spark, tmp_path):
     jobs.start(stream, str(tmp_path / "o"), str(tmp_path / "s")).awaitTermination()
     assert values(behavior.trending_score(spark.read.parquet(str(tmp_path / "o"))), "product_id", "total_interactions", "unique_users") == [
         ("p0", 20, 7), ("p1", 20, 7), ("p2", 20, 7)]
+
+
+def test_upsert_into_thousands_of_partitions(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days = spark.range(1500).select(F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")).alias("summary_date"), F.col("id").alias("v"))
+    lake.upsert_by_day(days, path)
+    changed = days.withColumn("v", F.col("v") + 1).unionByName(
+        spark.createDataFrame([("2030-01-01", 7)], "d string, v long").select(F.col("d").cast("date").alias("summary_date"), "v"))
+    lake.upsert_by_day(changed, path)
+    after = spark.read.parquet(path)
+    assert after.count() == 1501 and after.agg(F.sum("v")).first()[0] == sum(range(1501)) + 7
+
+
+def test_upsert_of_a_null_partition_and_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "n")
+    make = lambda rows: spark.createDataFrame(rows, "k long, v string, at long, p string")
+    lake.upsert_partitioned(make([(1, "a", 1, None), (2, "b", 1, "x")]), path, ["k"], "at", ["p"])
+    lake.upsert_partitioned(make([(1, "c", 2, None)]), path, ["k"], "at", ["p"])
+    lake.upsert_partitioned(make([]), path, ["k"], "at", ["p"])
+    assert values(spark.read.parquet(path), "k", "v") == [(1, "c"), (2, "b")]
+
+
+def test_events_delivered_again_count_once(spark, tmp_path):
+    schema = "event_id string, user_id long, product_id long, event_type string, ts timestamp, quantity int, price double"
+    batch = lambda *ids: spark.createDataFrame([(i, 1, 1, "view", NOON, 1, 1.0) for i in ids], schema)
+    path = str(tmp_path / "seen")
+    ids = lambda df: sorted((r.event_id or "") for r in df.collect())
+    assert ids(jobs.fresh_events(batch("a", "b", "a", None, None), path, 0)) == ["", "", "a", "b"]
+    assert ids(jobs.fresh_events(batch("b", "c"), path, 1)) == ["c"]
+    assert ids(jobs.fresh_events(batch("b", "c"), path, 1)) == ["c"]  # a replayed batch
+    assert ids(jobs.fresh_events(batch("a", "c", "d"), path, 2)) == ["d"]
+
+
+def test_folded_parts_go(spark, tmp_path):
+    path = str(tmp_path / "sums")
+    for n in range(6):
+        jobs.append_batch(spark.createDataFrame([(1, 1, 1.0, 1)], "user_id long, product_id long, weight double, n long"), f"{path}/rating_sums", n)
+        if n % 2:
+            jobs.compact_sums(spark, path, n)
+    assert jobs.interaction_sums(spark, path).first().n == 6
+    assert sorted(p.name for p in (tmp_path / "sums" / "rating_sums").glob("batch_id=*")) == ["batch_id=4", "batch_id=5"]
