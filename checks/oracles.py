@@ -149,7 +149,7 @@ def _customers(spent: str, mean: str, limit: int) -> str:
 def _search(where: str, offset: int) -> str:
     """BM25 per field with the better field; `tags` holds the language, `name` the first 40 characters."""
     words = lambda text: f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
-    fields = {"name": (words("text[1:40]"), 2.0), "descr": (words("text"), 1.0), "tag": (words("lang"), 1.0)}
+    fields = {"name": (words("split_part(text, chr(10), 1)"), 2.0), "descr": (words("text"), 1.0), "tag": (words("lang"), 1.0)}
     terms = ["the", "on", "réa"]
     tf = ", ".join(f"len(list_filter({f}, lambda w: w = '{t}')) AS {f}_{i}" for f in fields for i, t in enumerate(terms))
     n = ", ".join(f"count(*) FILTER (len({f}) > 0) AS {f}_n, avg(len({f})) FILTER (len({f}) > 0) AS {f}_avg" for f in fields)
@@ -474,6 +474,10 @@ def oracle_sql() -> dict[str, str]:
     out["q41_search_all"] = _sql("""SELECT doc_id AS product_id, lang AS category, source AS brand, CAST(n_chars AS DOUBLE) AS price,
         CAST(1 AS DOUBLE) AS relevance_score, count(*) OVER () AS total_count FROM documents WHERE source = 'src1' ORDER BY doc_id LIMIT 20""",
         "price relevance_score")
+    out["q37_als_checks"] = _sql("""SELECT count(DISTINCT user_id) AS users,
+        count(DISTINCT user_id) * least(10, count(DISTINCT product_id)) AS n_rows, CAST(0 AS BIGINT) AS rank_gaps,
+        CAST(0 AS BIGINT) AS rising_scores, CAST(0 AS BIGINT) AS unknown_products
+        FROM ev WHERE user_id IS NOT NULL AND product_id IS NOT NULL""")
     counters = _sql("SELECT user_id, count(*) AS total_events, " + ", ".join(
         f"count(*) FILTER (event_type = '{k}') AS {k}_count" for k in ("view", "cart", "purchase", "like", "search"))
         + ", max(ts) AS last_activity FROM ev GROUP BY 1", stamps="last_activity")
@@ -483,11 +487,11 @@ def oracle_sql() -> dict[str, str]:
     out["q43_popular_products"] = _sql(f"""SELECT p.name, x.* FROM (SELECT * FROM ({popular}) ORDER BY popularity_score DESC, product_id LIMIT 20) x
         JOIN p USING (product_id)""", "popularity_score")
     out["x9_popularity_stream"] = _sql(popular, "popularity_score")
-    out["q44_behavior_log"] = _sql("""SELECT user_id, product_id, action_type, CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS VARCHAR) AS device_type,
+    out["q44_behavior_log"] = out["x11_log_table_stream"] = _sql("""SELECT user_id, product_id, action_type, CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS VARCHAR) AS device_type,
         CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS user_agent, CAST(NULL AS VARCHAR) AS search_query, created_at FROM beh""", stamps="created_at")
-    out["q45_purchase_orders"] = _sql("""SELECT 'order_' || event_id AS order_id, user_id, ts AS order_date, total_amount, 'pending' AS status,
+    out["q45_purchase_orders"] = out["x11_orders_stream"] = _sql("""SELECT 'order_' || event_id AS order_id, user_id, ts AS order_date, total_amount, 'pending' AS status,
         CAST(NULL AS VARCHAR) AS shipping_address, CAST(NULL AS VARCHAR) AS payment_method FROM ev WHERE event_type = 'purchase'""", "total_amount", "order_date")
-    out["q45_purchase_items"] = _sql("""SELECT 'order_' || event_id AS order_id, product_id, quantity, total_amount / quantity AS unit_price,
+    out["q45_purchase_items"] = out["x11_items_stream"] = _sql("""SELECT 'order_' || event_id AS order_id, product_id, quantity, total_amount / quantity AS unit_price,
         total_amount AS total_price FROM ev WHERE event_type = 'purchase'""", "unit_price total_price")
     out["q46_cart_upsert"] = out["x11_cart_stream"] = _sql(
         "SELECT user_id, product_id, count(*) AS quantity, max(ts) AS added_at FROM ev WHERE event_type = 'cart' GROUP BY 1, 2", stamps="added_at")

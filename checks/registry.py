@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from storeglass.functions.exprs import at, days_before, exact_round, padded_id, shorten, span
 from storeglass.operators import quality
@@ -111,10 +111,34 @@ def stream_ratings(spark: SparkSession, root: str) -> DataFrame:
     return jobs.rating_table(spark, place)
 
 
+def _derived(spark: SparkSession, root: str) -> str:
+    """Tables derived from a stream that delivers every event twice."""
+    place, events = _place(spark), _stream(spark, root)
+    jobs.derive_tables(events.unionByName(events), place, f"{place}/state").awaitTermination()
+    return place
+
+
 def stream_cart(spark: SparkSession, root: str) -> DataFrame:
-    place = _place(spark)
-    jobs.derive_tables(_stream(spark, root), place, f"{place}/state").awaitTermination()
-    return jobs.cart_table(spark, place)
+    return jobs.cart_table(spark, _derived(spark, root))
+
+
+def derived_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, root: spark.read.parquet(f"{_derived(spark, root)}/{name}").drop("batch_id")
+
+
+def als_checks(t) -> DataFrame:
+    """Figures of the factorisation that its input determines, and counts of broken rules, which are to be 0."""
+    ratings = behavior.ratings(t.events)
+    recs = recommend.als_recommendations(ratings)
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))  # ten rows a user
+    per_user = recs.withColumn("_rises", (before < F.col("score")).cast("bigint")).groupBy("user_id").agg(
+        F.count("*").alias("n"), F.max("rank").alias("last"), F.countDistinct("rank").alias("ranks"), F.sum("_rises").alias("rises"))
+    unknown = recs.join(ratings.select("product_id").distinct(), "product_id", "left_anti").agg(F.count("*").alias("unknown_products"))
+    gaps = F.count(F.when((F.col("last") != F.col("n")) | (F.col("ranks") != F.col("n")), 1))
+    return per_user.agg(
+        F.count("*").alias("users"), F.sum("n").alias("n_rows"), gaps.alias("rank_gaps"),
+        F.coalesce(F.sum("rises"), F.lit(0)).cast("bigint").alias("rising_scores")).withColumn(
+        "unknown_products", unknown.scalar())
 
 
 def stream_log(spark: SparkSession, root: str) -> DataFrame:
@@ -230,6 +254,7 @@ def tables_queries() -> dict[str, Callable]:
         "q35_trending": lambda t: b.trending(t.events, EVENTS_AS_OF),
         "q36_ratings": lambda t: b.ratings(t.events),
         "q37_als_recommendations": lambda t: r.als_recommendations(b.ratings(t.events)),
+        "q37_als_checks": als_checks,
         "q38_affinity_recommendations": lambda t: r.affinity_recommendations(t.events, users=t.users),
         "q39_simple_trending": lambda t: b.simple_trending(t.events),
         "q40_enriched_trending": lambda t: r.enrich(
@@ -296,6 +321,9 @@ def session_queries() -> dict[str, Callable]:
         "x8_counters_stream": stream_counters,
         "x9_popularity_stream": stream_popularity,
         "x11_cart_stream": stream_cart,
+        "x11_orders_stream": derived_table("orders"),
+        "x11_items_stream": derived_table("order_items"),
+        "x11_log_table_stream": derived_table("user_behavior_log"),
         "x13_log_stream": stream_log,
     }
 

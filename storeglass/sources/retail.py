@@ -227,7 +227,7 @@ class StarTables(Tables):
     def search_docs(self) -> DataFrame:
         return self._read("documents").select(
             F.col("doc_id").alias("product_id"),
-            F.substring("text", 1, 40).alias("name"),
+            F.substring_index("text", "\n", 1).alias("name"),
             F.col("text").alias("description"),
             F.array("lang").alias("tags"),
             F.col("lang").alias("category"),
