@@ -94,11 +94,13 @@ def with_counts(rows: DataFrame, text: str) -> DataFrame:
     )
     windows, hashes = _window_hashes(F.col("_words"))
     step = step.withColumn("_hashes", hashes).withColumn("_windows", windows)
-    step = step.select(
-        *keep, F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        F.when(F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0).cast("long"))
-        .otherwise(_covered(F.col("_windows"))).alias("n_repeat_words"),
-    )
+    repeat_words = F.when(F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0).cast("long")).otherwise(
+        _covered(F.col("_windows")))
+    found = F.struct(
+        F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines",
+        repeat_words.alias("n_repeat_words"))
+    # Exploding an array of one keeps filters above, and with them copies of these expressions, out of what lies below.
+    step = step.select(*keep, F.explode(F.array(found)).alias("_found")).select(*keep, "_found.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return step.withColumn("base_failed", failed)
 
