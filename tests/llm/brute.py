@@ -59,3 +59,48 @@ def edit_distance_within(pattern: str, text: str) -> int:
         for j, t in enumerate(text, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (p != t))
     return min(row)
+
+
+def url_verdicts(pages: dict, rules, max_branches, deviation, prior, reject_from):
+    """page_id -> (host, path, rule, verdict, template), with the tree walked node by node."""
+    rows = {}
+    for page_id, url in pages.items():
+        found = re.match("(?s)(.*?)://([^/?#]*)([^?#]*)", url or "")
+        host, path = (found[2].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")), found[3]) if found else ("", "")
+        fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        rule = max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+        rows[page_id] = host, path, rule, tuple(re.sub("[0-9]+", "#", re.sub("^/", "", path)).split("/"))
+    template = {(h, shape): "" for h, _, _, shape in rows.values()}
+    blocked = Counter((h, shape) for h, _, rule, shape in rows.values() if rule and rule[0] == "block")
+    labelled = Counter((h, shape) for h, _, rule, shape in rows.values() if rule)
+    for level in range(max(len(shape) for _, shape in template)):
+        nodes = defaultdict(lambda: defaultdict(list))
+        for (h, shape), t in template.items():
+            if level < len(shape):
+                nodes[h, t][shape[level]].append((h, shape))
+        for branches in nodes.values():
+            count = lambda what, keys: sum(what[k] for k in keys)
+            every = [k for keys in branches.values() for k in keys]
+            all_b, all_l = count(blocked, every), count(labelled, every)
+            for name, keys in branches.items():
+                b, n = count(blocked, keys), count(labelled, keys)
+                rest = all_l - n
+                apart = False
+                if n and rest:
+                    share = all_b / all_l
+                    error = (share * (1 - share) * (1 / n + 1 / rest)) ** 0.5
+                    apart = abs(b / n - (all_b - b) / rest) > deviation * error
+                alone = len(branches) == 1 or (len(branches) <= max_branches and apart)
+                for k in keys:
+                    template[k] += "/" + (name if alone else "*")
+    totals = lambda key: (sum(blocked[k] for k in template if key(k)), sum(labelled[k] for k in template if key(k)))
+    b, n = totals(lambda k: True)
+    overall, purity = b / n if n else 0.0, {}
+    for (h, shape), t in template.items():
+        if (h, t) not in purity:
+            hb, hl = totals(lambda k: k[0] == h)
+            tb, tl = totals(lambda k: k[0] == h and template[k] == t)
+            purity[h, t] = (tb + prior * (hb + prior * overall) / (hl + prior)) / (tl + prior)
+    return {page_id: (h, path, rule and rule[1] + rule[2],
+                      rule[0] if rule else "block" if purity[h, template[h, shape]] >= reject_from else "allow", template[h, shape])
+            for page_id, (h, path, rule, shape) in rows.items()}

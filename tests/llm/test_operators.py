@@ -319,6 +319,15 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+@pytest.mark.parametrize("root", [ROOT, "/root/testdata/sf0.01"])
+def test_urls_of_pages(spark, root):
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{root}/pages.parquet").collect()}
+    expected = brute.url_verdicts(pages, urls.RULES, urls.MAX_BRANCHES, urls.DEVIATION, urls.PRIOR, urls.REJECT_FROM)
+    rows = registry.op7_path_templates(spark, root).collect()
+    assert len(rows) == len(pages)
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"], r["template"]) for r in rows} == expected
+
+
 def test_templates_of_blocked_neighbours_are_rejected(spark):
     rules = [("block", "s.com", "/bad/1"), ("allow", "s.com", "/good/1")]
     rows = [(k, f"http://s.com/bad/1{k}") for k in range(100)] + [(200 + k, f"http://s.com/good/1{k}") for k in range(100)]
