@@ -4,7 +4,7 @@ A byte goes if a WIDTH-byte string over it also starts in a document with a smal
 fits no task, and most of a corpus repeats nothing; so the suffix arrays get just what may repeat:
 
 1. Copies of a whole text are found by its hash and are resolved at once; only the first of them goes on.
-2. Fingerprints: of every WIDTH - GRAM + 1 consecutive byte grams the one with the smallest hash is chosen (winnowing),
+2. Fingerprints: of every WIDTH - GRAM + 1 consecutive grams of GRAM bytes the one with the smallest hash is chosen (winnowing),
    so any common string of WIDTH bytes has a chosen gram in common. They travel in packed columns by hash bucket, each
    task's copies of a fingerprint being merged first. Those in two or more documents are flagged, with the smallest
    document that has them: their source.
@@ -36,10 +36,10 @@ from storeglass.llm.common import small_or_not, stored
 from storeglass.llm.neardup import mix
 from storeglass.llm.suffixes import SEPARATOR, WIDTH, repeats, spans
 
-GRAM = 16
+GRAM = 24
 #: Bytes of text whose fingerprints are packed together, bytes of text per hash bucket, bytes of a suffix buffer, and
 #: bytes of segments from which a block is dealt over several tasks.
-PACK, PER_BUCKET, BUFFER, HOT = 16 << 20, 24 << 20, 4 << 20, 8 << 20
+PACK, PER_BUCKET, BUFFER, HOT = 8 << 20, 24 << 20, 2 << 20, 8 << 20
 _CHUNK = 1 << 20
 
 
@@ -51,10 +51,7 @@ def chosen(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         part = data[low : low + _CHUNK + WIDTH - 1].astype(np.uint64)
         if len(part) < WIDTH:
             break
-        h, factor = part, 0x9E3779B97F4A7C15
-        for step in (1, 2, 4, 8):  # grams of 2, 4, 8 and 16 bytes
-            h = h[:-step] * np.uint64(factor) + h[step:]
-            factor = factor * factor % (1 << 64)
+        h = polynomials(part)
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB) >> np.uint64(16)
         least = sliding(h, window, np.minimum)
@@ -71,6 +68,18 @@ def chosen(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes[once], places[once]
 
 
+def polynomials(values: np.ndarray) -> np.ndarray:
+    """Polynomial hash of every GRAM consecutive values, put together from those of 1, 2, 4, ... values."""
+    power, factor, size, out, have = values, 0x9E3779B97F4A7C15, 1, None, 0
+    while size <= GRAM:
+        if GRAM & size:
+            out = power if out is None else out[: len(power) - have] * np.uint64(factor) + power[have:]
+            have += size
+        power = power[:-size] * np.uint64(factor) + power[size:]
+        factor, size = factor * factor % (1 << 64), 2 * size
+    return out
+
+
 def first_of(places: np.ndarray) -> np.ndarray:
     """Chunks overlap, so that a gram may be chosen in two of them."""
     return np.unique(places, return_index=True)[1]

@@ -36,8 +36,7 @@ def suffix_order(data: np.ndarray, w: np.ndarray) -> np.ndarray:
     at = changes[nearest[inner]]
     larger[inner] = data[at] > data[at + 1]
 
-    direct = np.nonzero(~larger)[0]
-    direct = direct[np.lexsort([w[direct + k] for k in range(DEPTH - 8, -1, -8)])]
+    direct = sorted_directly(np.nonzero(~larger)[0], w)
     front, back = np.bincount(data[larger], minlength=256), np.bincount(data[~larger], minlength=256)
     first = np.append(0, np.cumsum(front + back)[:-1])
     order, free, taken = np.empty(n, np.int64), first.copy(), 0
@@ -68,6 +67,17 @@ def suffix_order(data: np.ndarray, w: np.ndarray) -> np.ndarray:
     return order
 
 
+def sorted_directly(starts: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Starts by their DEPTH bytes: all by sixteen bytes, then those that still tie by the others within their group."""
+    starts = starts[np.lexsort((w[starts + 8], w[starts]))]
+    same = (w[starts[1:]] == w[starts[:-1]]) & (w[starts[1:] + 8] == w[starts[:-1] + 8])
+    tied = np.nonzero(np.append(same, False) | np.append(False, same))[0]
+    group = np.cumsum(np.append(True, ~same))[tied] if len(starts) else tied
+    again = starts[tied]
+    starts[tied] = again[np.lexsort([*[w[again + k] for k in range(DEPTH - 8, 8, -8)], group])]
+    return starts
+
+
 def common_prefixes(order: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Bytes, WIDTH at most, that each suffix shares with the one before it in the order; 0 for the first."""
     shared = np.zeros(len(order), np.int64)
