@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from storeglass.llm.common import small_or_not, stored, texts
+from storeglass.llm.common import small_or_not, stored, texts, tidy
 
 COORDINATES = 64
 TREES = 10
@@ -143,7 +143,7 @@ class Join:
                     [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
                      pa.array(sigs, pa.binary())], names=["doc_id", "n", "f1", "f2", "sig"])
 
-        return texts(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary")
+        return texts(docs).mapInArrow(tidy(run), "doc_id long, n long, f1 long, f2 long, sig binary")
 
     def sets(self, docs: DataFrame, ids: DataFrame) -> DataFrame:
         """doc_id and full set of the documents in `ids` (stored)."""
@@ -154,7 +154,7 @@ class Join:
                 sets = [shingle_set(text.as_py(), self.words, hashes).tobytes() for text in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "tokens"])
 
-        return texts(docs).join(small_or_not(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, tokens binary")
+        return texts(docs).join(small_or_not(ids), "doc_id", "left_semi").mapInArrow(tidy(run), "doc_id long, tokens binary")
 
     # -- trees
 
@@ -175,7 +175,7 @@ class Join:
                     rows, nodes = self.children(np.full(len(ids), mix(tree, 13)), sig)
                     yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids[rows])], names=["node", "doc_id"])
 
-        return reps.select("doc_id", "sig").mapInArrow(run, "node long, doc_id long")
+        return reps.select("doc_id", "sig").mapInArrow(tidy(run), "node long, doc_id long")
 
     def branch(self, rows: DataFrame) -> DataFrame:
         """The next level of (node, doc_id, sig)."""
@@ -186,7 +186,7 @@ class Join:
                 at, nodes = self.children(np.asarray(batch.column(0)).view(np.uint64), signatures(batch.column(2)))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids[at])], names=["node", "doc_id"])
 
-        return rows.select("node", "doc_id", "sig").mapInArrow(run, "node long, doc_id long")
+        return rows.select("node", "doc_id", "sig").mapInArrow(tidy(run), "node long, doc_id long")
 
     def nodes(self, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(node, doc_id) of the small nodes, and (pivot, doc_id) of those still large at the last level."""
@@ -240,7 +240,7 @@ class Join:
             if held:
                 yield flush(pa.Table.from_batches(held).combine_chunks())
 
-        found = spread.mapInArrow(run, "a long, b long, star boolean")
+        found = spread.mapInArrow(tidy(run), "a long, b long, star boolean")
         return found.groupBy("a", "b").agg(F.max("star").alias("star"))
 
     def confirmed(self, pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ class Join:
                     good.append(self.out_of * shared >= self.least * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-        return both.mapInArrow(run, "a long, b long")
+        return both.mapInArrow(tidy(run), "a long, b long")
 
     def labels(self, docs: DataFrame, reps: DataFrame) -> DataFrame:
         """(doc_id, label) of the representatives that are linked with a smaller one; label is the group's smallest."""
@@ -294,7 +294,7 @@ class Join:
                     [pa.array(a[good]), pa.array(b[good]), pa.array(np.ones(good.sum(), bool))], names=["a", "b", "star"])
 
         return stars.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"), "n", "pn", "sig", "psig").mapInArrow(
-            run, "a long, b long, star boolean")
+            tidy(run), "a long, b long, star boolean")
 
     def outside(self, large: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame | None:
         """Blocks that hold the documents of large nodes which are not in their pivot's group against all of the node.

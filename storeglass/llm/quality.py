@@ -47,8 +47,8 @@ def counts(text: Column) -> dict[str, Column]:
 
 
 def _window_hashes(words: Column) -> tuple[Column, Column]:
-    """One 64-bit hash for each run of WINDOW words, over the column `_hashes`, and that column. Two different windows of one text share it with a chance of
-    about n^2 / 2^65."""
+    """One 64-bit hash for each run of WINDOW words, over the column `_hashes`, and that column. Two different windows
+    of one text share it with a chance of about n^2 / 2^65."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.when(
         F.size(words) >= WINDOW,

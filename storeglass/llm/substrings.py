@@ -32,14 +32,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storeglass.llm.common import small_or_not, stored
+from storeglass.llm.common import small_or_not, stored, tidy
 from storeglass.llm.neardup import mix
 from storeglass.llm.suffixes import SEPARATOR, WIDTH, repeats, spans
 
 GRAM = 24
 #: Bytes of text whose fingerprints are packed together, bytes of text per hash bucket, bytes of a suffix buffer, and
 #: bytes of segments from which a block is dealt over several tasks.
-PACK, PER_BUCKET, BUFFER, HOT = 8 << 20, 24 << 20, 2 << 20, 8 << 20
+PACK, PER_BUCKET, BUFFER, HOT = 4 << 20, 12 << 20, 1 << 20, 8 << 20
 _CHUNK = 1 << 20
 
 
@@ -156,7 +156,7 @@ def packed_prints(heads: DataFrame, buckets: int, places: bool) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist([dict(zip(_PACKED.names, r, strict=True)) for r in rows], _PACKED)
 
-    return heads.mapInArrow(run, "bucket long, prints binary, docs binary, places binary, ids binary, tags binary")
+    return heads.mapInArrow(tidy(run), "bucket long, prints binary, docs binary, places binary, ids binary, tags binary")
 
 
 _PACKED = pa.schema([("bucket", pa.int64())] + [(k, pa.binary()) for k in ("prints", "docs", "places", "ids", "tags")])
@@ -197,7 +197,7 @@ def flagged(packed: DataFrame) -> DataFrame:
         yield from result()
 
     spread = packed.select("bucket", "prints", "docs", "ids").repartition("bucket").sortWithinPartitions("bucket")
-    return spread.mapInArrow(run, "bucket long, prints binary, sources binary")
+    return spread.mapInArrow(tidy(run), "bucket long, prints binary, sources binary")
 
 
 def lookups(packed: DataFrame, flags: DataFrame, salts: int) -> DataFrame:
@@ -228,7 +228,7 @@ def lookups(packed: DataFrame, flags: DataFrame, salts: int) -> DataFrame:
                      pa.array(np.frombuffer(row["places"], "<u4")[hit].astype(np.int64)), pa.array(sources[found[hit]])],
                     names=["doc_id", "tag", "place", "source"])
 
-    return spread.mapInArrow(run, "doc_id long, tag int, place long, source long")
+    return spread.mapInArrow(tidy(run), "doc_id long, tag int, place long, source long")
 
 
 def segments(located: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def segments(located: DataFrame) -> DataFrame:
                     out = []
             yield pa.RecordBatch.from_pylist([dict(zip(_SEGMENTS.names, r, strict=True)) for r in out], _SEGMENTS)
 
-    return located.mapInArrow(run, "source long, doc_id long, tag int, start long, part binary")
+    return located.mapInArrow(tidy(run), "source long, doc_id long, tag int, start long, part binary")
 
 
 _SEGMENTS = pa.schema([("source", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("start", pa.int64()), ("part", pa.binary())])
@@ -309,7 +309,7 @@ def repeated(dealt: DataFrame) -> DataFrame:
             yield result()
 
     return spread.select("source", "doc_id", "tag", "start", "part", "hot", "salt").mapInArrow(
-        run, "doc_id long, tag int, start long, stop long, open long")
+        tidy(run), "doc_id long, tag int, start long, stop long, open long")
 
 
 def dealt_blocks(parts: DataFrame) -> DataFrame:
@@ -390,7 +390,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *[pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items()]],
                 names=["doc_id", *out])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_documents(docs: DataFrame) -> DataFrame:
@@ -410,7 +410,7 @@ def cut_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([texts, batch.column(3)], names=["text", "_row"]).filter(texts.is_valid())
 
     schema = f"text string, _row {joined.schema['_row'].dataType.simpleString()}"
-    cut = joined.mapInArrow(run, schema)
+    cut = joined.mapInArrow(tidy(run), schema)
     columns = [F.col("text") if c == "text" else F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"_row.{c}").alias(c)
                for c, t in docs.dtypes]
     return cut.select(*columns)
