@@ -104,3 +104,23 @@ def url_verdicts(pages: dict, rules, max_branches, deviation, prior, reject_from
     return {page_id: (h, path, rule and rule[1] + rule[2],
                       rule[0] if rule else "block" if purity[h, template[h, shape]] >= reject_from else "allow", template[h, shape])
             for page_id, (h, path, rule, shape) in rows.items()}
+
+
+def license_runs(text: str, templates: dict, least: int) -> list:
+    """(start, end, template, n_bigrams, n_shared) of the runs of words, over all of them, before lines are looked at."""
+    words = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    grams, found = list(zip(words, words[1:])), []
+    for name, template in templates.items():
+        own = re.sub("[^a-z0-9]+", " ", template.lower()).split()
+        wanted = set(zip(own, own[1:]))
+        for start in range(len(grams)):
+            for end in range(start, min(len(grams), start + (200 - least) * (len(own) - 1) // least)):
+                run = set(grams[start : end + 1])
+                shared = len(run & wanted)
+                if 200 * shared >= least * (len(run) + len(wanted)):
+                    found.append((len(run) + len(wanted) - 3 * shared, len(run), name, start, end, shared))
+    kept = []
+    for cost, n, name, start, end, shared in sorted(found):
+        if not any(start <= e and s <= end for s, e, *_ in kept):
+            kept.append((start, end, name, n, shared))
+    return sorted(kept)

@@ -293,6 +293,41 @@ def test_licenses(spark):
     assert found == {(1, 2): ("GPL", 100), (2, 1): ("GPL", found[2, 1][1]), (None, 1): ("GPL", 100), (8, 0): ("MIT permission", 100)}
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_wrapped_licenses(spark, name):
+    words = licenses.TEMPLATES[name].split()
+    half = len(words) // 2
+    wrapped = f"/*\n * {' '.join(words[:half])}\n * {' '.join(words[half:])}\n */\n"
+    short = [" ".join(words[k : k + 3]) for k in range(0, len(words), 3)]
+    rows = [(1, wrapped + prose(1, 200)), (2, f"{prose(2, 90)}\n# " + "\n# ".join(short) + f"\n{prose(3, 90)}"),
+            (3, f"{prose(4, 90)} {' '.join(words)} {prose(5, 90)}"), (4, f"{prose(6, 9)}\n\n{' '.join(words)}\n{prose(7, 90)}"),
+            (5, wrapped + prose(8, 200) + "\n" + wrapped)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    starts = sorted((r["doc_id"], r["line_no"]) for r in found if r["template"] == name)
+    # The second line of the shortest notice is enough by itself.
+    second = 1 if name == "CC-BY-NC-4.0" else 0
+    assert starts == [(1, 2 + second), (2, 2), (3, 1), (4, 3), (5, 2 + second), (5, 7 + second)]
+
+
+def test_license_runs(spark):
+    draw, texts, names = random.Random(9), {}, sorted(licenses.TEMPLATES)
+    for k in range(80):
+        words = prose(k, draw.choice([0, 3, 40])).split()
+        for _ in range(draw.randint(1, 4)):
+            notice = licenses.TEMPLATES[draw.choice(names)].split()
+            for _ in range(draw.choice([0, 0, 1, 2, 4])):
+                notice[draw.randrange(len(notice))] = draw.choice(["", "the", "license", "zorn"])
+            words += notice[draw.choice([0, 0, 1, 2]) :] + prose(k, draw.choice([0, 1, 30])).split()
+        texts[k] = " ".join(words)
+    rows = [(k, text.replace(" ", "\n")) for k, text in texts.items()]  # no line has two words
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = {(r["doc_id"], r["template"]) for r in found if r["line_no"] == 0}
+    expected = [(k, name, n, shared) for k, text in texts.items()
+                for _, _, name, n, shared in brute.license_runs(text, licenses.TEMPLATES, licenses.LEAST) if (k, name) not in whole]
+    got = [(r["doc_id"], r["template"], r["n_bigrams"], r["n_shared"]) for r in found if r["line_no"] > 0]
+    assert sorted(got) == sorted(expected) and len(got) > 100
+
+
 def test_thresholds_follow_their_group(spark):
     plain = [(k, prose(k, 40), "en", "plain", 1) for k in range(300)]
     signs = [(1000 + k, " # | ".join(prose(k, 40).split()), "en", "tables", 1) for k in range(300)]
