@@ -8,9 +8,11 @@ item would lie; the text around it is verified with Myers' bit-parallel edit dis
 Items travel to the tasks as broadcast blocks of at most BLOCK_CHARS characters; more blocks mean more passes over the
 documents, not larger tasks. Documents are never shuffled.
 
-Odd rows: null and empty items, and those shorter than SHORTEST, are not searched for; null and empty texts contain
-nothing; an item given twice is found under each of its ids, a document row given twice gives its finding twice; null
-doc_ids are kept; empty tables give an empty result; other columns are ignored by `find`, passed through by
+Items shorter than SHORTEST are looked for exactly and as whole words: no letter or digit may stand next to them.
+
+Odd rows: null and empty items are not searched for; items without an id are, and found under null; null and empty texts
+contain nothing; an item given twice is found under each of its ids, a document row given twice gives its finding twice;
+null doc_ids are kept; empty tables give an empty result; other columns are ignored by `find`, passed through by
 `filter_documents`.
 """
 
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from storeglass.llm.common import texts
 
 CHARS_PER_ERROR = 20
+#: Characters from which an item may occur with edits and inside words.
 SHORTEST = 20
 BLOCK_CHARS = 8_000_000
 _FOUND = "doc_id long, item_id long, distance long, max_distance long, n_places long"
@@ -66,12 +69,12 @@ def best_distance(pattern_bits: dict[str, int], length: int, text: str) -> int:
 class Items:
     """Test items ready to be searched for."""
 
-    def __init__(self, items: list[tuple[int, str]], chars_per_error: int):
+    def __init__(self, items: list[tuple[int | None, str]], chars_per_error: int):
         import ahocorasick
 
         self.items, by_piece = [], defaultdict(list)
         for item_id, text in items:
-            errors = len(text) // chars_per_error
+            errors = len(text) // chars_per_error if len(text) >= SHORTEST else 0
             bits: dict[str, int] = defaultdict(int)
             for at, char in enumerate(text):
                 bits[char] |= 1 << at
@@ -83,14 +86,17 @@ class Items:
             self.lookup.add_word(piece, places)
         self.lookup.make_automaton()
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item_id, smallest distance, largest allowed one, number of separate places)."""
         whole, spans = normal(text), defaultdict(list)
         if not len(self.lookup):
             return []
         for end, places in self.lookup.iter(whole):
             for item, start, length in places:
-                spans[item].append(end + 1 - length - start)
+                first = end + 1 - length - start
+                if self.items[item][1] >= SHORTEST or not (
+                        whole[max(first - 1, 0) : first].isalnum() or whole[end + 1 : end + 2].isalnum()):
+                    spans[item].append(first)
         found = []
         for item, starts in sorted(spans.items()):
             item_id, length, errors, bits = self.items[item]
@@ -108,16 +114,16 @@ class Items:
         return found
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
     """Normalised items in blocks of about `block_chars` characters; one block at a time is on the driver."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    rows = rows.filter("text IS NOT NULL")
     chars = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     count = -(-chars // block_chars) or 1
     for k in range(count):
         part = rows if count == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        items = sorted((row["item_id"], normal(row["text"])) for row in part.collect())
-        yield [(item_id, text) for item_id, text in items if len(text) >= SHORTEST]
+        items = [(row["item_id"], normal(row["text"])) for row in part.collect()]
+        yield sorted((x for x in items if x[1]), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 @lru_cache(maxsize=2)
