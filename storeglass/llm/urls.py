@@ -1,9 +1,9 @@
 """URL filter by a tree of path templates (operator 7). Built-in functions only.
 
 Urls become (host, shape): digit runs of a path segment turn into `#`. From the root down, the branches of every node of
-a host's tree are compared by what is known of them: urls that a rule decides are labelled by it. A node with very many
-branches is variable and all of them become `*`; elsewhere a branch stays on its own only where its share of blocked
-labels differs clearly from its siblings', and the others merge into `*`. A template is rejected if its share of
+a host's tree are compared by what is known of them: urls that a rule decides are labelled by it. However many they
+are, a branch stays on its own only where its share of blocked labels differs clearly from its siblings', and the others
+merge into `*`. A template is rejected if its share of
 blocked labels, smoothed by that of its host and that by the share everywhere, is high enough.
 
 The tree is built on distinct (host, shape) with counts, which are summed within tasks first: a host with a third of
@@ -29,8 +29,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 MAX_DEPTH = 8
-#: Branches of a node above which it counts as variable.
-MAX_BRANCHES = 50
+#: Branches of a node that are compared: any number.
+MAX_BRANCHES = float("inf")
 #: Standard errors by which a branch's share has to differ.
 DEVIATION = 3.0
 #: Labels that the smoothing adds, and the share from which a template is rejected.
@@ -81,7 +81,7 @@ def templates(shapes: DataFrame) -> DataFrame:
         apart = F.abs(F.col("b") / F.col("l") - (F.col("all_b") - F.col("b")) / rest)
         error = F.sqrt(share * (1 - share) * (1 / F.col("l") + 1 / rest))
         alone = (F.col("kids") == 1) | (
-            (F.col("kids") <= MAX_BRANCHES) & (F.col("l") > 0) & (rest > 0)
+            (F.col("l") > 0) & (rest > 0)
             & F.when((F.col("l") > 0) & (rest > 0), apart > DEVIATION * error).otherwise(False))
         named = branches.join(whole, node).select(
             *node, "branch", F.when(alone, F.col("branch")).otherwise("*").alias("name"))
