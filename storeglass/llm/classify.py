@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeglass.llm import subwords
 from storeglass.llm.common import texts
@@ -25,7 +25,7 @@ from storeglass.llm.common import texts
 #: Rows per label that the models are fitted on.
 TOXIC_PER_CLASS = 2500
 LANGUAGE_PER_CLASS = 400
-#: Languages that are learned, the most frequent ones.
+#: Languages that have LANGUAGE_PER_CLASS rows each; more of them share as many rows in all.
 LANGUAGES = 100
 UNKNOWN = "und"
 #: Decision point of the toxicity score, and the least calibrated probability of an accepted language.
@@ -37,14 +37,19 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(by)), F.lit(-1))
 
 
-def sample(docs: DataFrame, labelled: DataFrame, labels: list, per_class: int) -> list[tuple[str, object]]:
+def sample(docs: DataFrame, labelled: DataFrame, labels: list, per_class: int, others: bool = False) -> list[tuple[str, object]]:
     """(text, label) of the first `per_class` ids of each label by hash, in an order that mixes the labels.
 
     The ids are cut label by label within tasks (top rows of an order), without the texts. At most per_class ids a label
-    are broadcast to fetch the texts, and these texts alone reach the driver.
+    are broadcast to fetch the texts, and these texts alone reach the driver. `others` adds the labels that are not
+    listed; they are ranked together, so none of them may be frequent.
     """
     at = F.xxhash64("doc_id")
     tops = [labelled.filter(F.col("label") == k).distinct().orderBy(at, "doc_id").limit(per_class) for k in labels]
+    if others:
+        rank = F.row_number().over(Window.partitionBy("label").orderBy(at, "doc_id"))
+        rare = labelled.filter(~F.col("label").isin(labels)).distinct().withColumn("rank", rank)
+        tops.append(rare.filter(F.col("rank") <= per_class).drop("rank"))
     if not tops:
         return []
     chosen = F.broadcast(reduce(DataFrame.unionByName, tops))
@@ -99,8 +104,10 @@ def language(docs: DataFrame, per_class: int = LANGUAGE_PER_CLASS, accepted_from
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("label")
     ).filter((remainder(F.col("doc_id"), 5) != 0) & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-    common = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
-    rows = sample(docs, labelled, sorted(row["label"] for row in common.collect()), per_class)
+    counts = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").collect()
+    common = sorted(row["label"] for row in counts[:LANGUAGES])
+    share = max(min(per_class, per_class * LANGUAGES // max(len(counts), 1)), 1)
+    rows = sample(docs, labelled, common, share, len(counts) > LANGUAGES)
     model = fit(rows, subwords.train)
     only = next(iter({label for _, label in rows}), UNKNOWN)
 
