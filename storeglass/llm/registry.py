@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from storeglass.llm import align, binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls
+from storeglass.llm import align, binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls, variants
 from storeglass.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_interval_coalescing(spark: SparkSession, root: str) -> DataFrame:
     return align.align(table(spark, root, "documents"))
 
 
+def op13_fm_index_variants(spark: SparkSession, root: str) -> DataFrame:
+    return variants.group_variants(table(spark, root, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: query for name, query in globals().items() if name.startswith("op")}
     return found | {"pipeline": corpus_pipeline.run}
