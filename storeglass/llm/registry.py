@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from storeglass.llm import align, binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls, variants
+from storeglass.llm import (
+    align, attention, binary, classify, decontaminate, licenses, neardup, oracles, packing, quality, substrings, urls, variants)
 from storeglass.llm.common import table
 
 
@@ -55,6 +56,10 @@ def op11_interval_coalescing(spark: SparkSession, root: str) -> DataFrame:
     return align.align(table(spark, root, "documents"))
 
 
+def op12_attention_quality(spark: SparkSession, root: str) -> DataFrame:
+    return attention.quality(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def op13_fm_index_variants(spark: SparkSession, root: str) -> DataFrame:
     return variants.group_variants(table(spark, root, "documents"))
 
