@@ -471,6 +471,7 @@ def oracle_sql() -> dict[str, str]:
     out["s8_snapshot_served"] = _sql(f"{served} FROM rec JOIN p USING (product_id)", "price recommendation_score")
     out["q41_search_products"] = _search("true", 0)
     out["q41_search_filtered"] = _search("lang = 'en' AND n_chars BETWEEN 300 AND 5000", 20)
+    out["q41_index_products"], out["q41_index_filtered"] = out["q41_search_products"], out["q41_search_filtered"]
     out["q41_search_all"] = _sql("""SELECT doc_id AS product_id, lang AS category, source AS brand, CAST(n_chars AS DOUBLE) AS price,
         CAST(1 AS DOUBLE) AS relevance_score, count(*) OVER () AS total_count FROM documents WHERE source = 'src1' ORDER BY doc_id LIMIT 20""",
         "price relevance_score")

@@ -11,6 +11,7 @@ from storeglass.functions.exprs import at, days_before, exact_round, padded_id,
 from storeglass.operators import quality
 from storeglass.operators.materialize import shared_folder
 from storeglass.plans import behavior, charts, customers, etl, orders, recommend, sales, search, sqllog
+from storeglass.plans.search_index import SearchIndex
 from storeglass.sources import lake
 from storeglass.sources.retail import StarTables
 from storeglass.sources.schemas import STAR
@@ -185,6 +186,18 @@ def snapshot_served(spark: SparkSession, root: str) -> DataFrame:
         "user_id", "product_id", "name", "price", F.col("score").alias("recommendation_score"))
 
 
+def indexed_search(**options) -> Callable[[SparkSession, str], DataFrame]:
+    """A page from a stored index whose products were all replaced once."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        docs, index = StarTables(spark, root).search_docs, SearchIndex(spark, f"{_place(spark)}/index")
+        index.update(docs.withColumn("description", F.concat_ws(" ", "name", F.lit(SEARCH))))
+        index.update(docs)
+        return index.search(SEARCH, **options).drop("description", "tags", "name")
+
+    return run
+
+
 def tables_queries() -> dict[str, Callable]:
     """Queries that only need the tables."""
     o, s, c, b, r = orders, sales, customers, behavior, recommend
@@ -314,6 +327,8 @@ def session_queries() -> dict[str, Callable]:
     """Queries that run a stream or write and read back; they need the session and the folder."""
     return {
         "q18_latest_since_by_month": orders_by_month,
+        "q41_index_products": indexed_search(),
+        "q41_index_filtered": indexed_search(category="en", min_price=300, max_price=5000, page=2),
         "s5_daily_summary_upserted": summary_upserted,
         "s8_snapshot_served": snapshot_served,
         "x3_window_counts_stream": stream_windows,

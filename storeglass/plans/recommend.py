@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
 from storeglass.functions.exprs import RATING_WEIGHTS, exact_round, weight_of
+from storeglass.operators.inner_product import top_by_inner_product
 from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.ranking import global_positions, top_per_group
 
@@ -59,17 +60,18 @@ def dense_ids(values: DataFrame, column: str, out: str) -> DataFrame:
     return placed.select(column, (F.col("position") - 1).cast("int").alias(out))
 
 
-def als_recommendations(ratings: DataFrame, n: int = 10, seed: int = 7) -> DataFrame:
-    """Top n products per user by alternating least squares; ids are translated by joins, never on the driver."""
+def als_recommendations(ratings: DataFrame, n: int = 10, seed: int = 7, report: dict | None = None) -> DataFrame:
+    """Top n products per user by alternating least squares; ids are translated by joins, never on the driver. The lists
+    are those of all users by all products, found without scoring all pairs (`report` gets the numbers)."""
     users = dense_ids(ratings, "user_id", "user_index")
     products = dense_ids(ratings, "product_id", "product_index")
     indexed = lookup_join(ratings.select("user_id", "product_id", "final_rating"), users, "user_id", spread_by="product_id")
     indexed = lookup_join(indexed, products, "product_id", spread_by="user_id")
     model = ALS(maxIter=10, regParam=0.1, seed=seed, userCol="user_index", itemCol="product_index",
                 ratingCol="final_rating", coldStartStrategy="drop").fit(indexed)
-    recs = model.recommendForAllUsers(n).select("user_index", F.posexplode("recommendations").alias("_pos", "_rec")).select(
-        "user_index", (F.col("_pos") + 1).alias("rank"), F.col("_rec.product_index").alias("product_index"),
-        F.col("_rec.rating").cast("double").alias("score"))
+    vectors = lambda factors: factors.select("id", F.col("features").alias("vector"))
+    recs = top_by_inner_product(vectors(model.userFactors), vectors(model.itemFactors), n, seed=seed, report=report).select(
+        F.col("user").cast("int").alias("user_index"), "rank", F.col("item").cast("int").alias("product_index"), "score")
     named = lookup_join(recs, products, "product_index", spread_by="user_index").join(users, "user_index")
     return named.select("user_id", "rank", "product_id", "score")
 

@@ -69,7 +69,7 @@ def search_products(
     return enrich_rows(shown, docs, "product_id", size).select(*columns, "relevance_score", "total_count").orderBy(*best_first)
 
 
-def _text(field: str) -> Column:
+def field_text(field: str) -> Column:
     return F.concat_ws(" ", field) if field == "tags" else F.coalesce(F.col(field), F.lit(""))
 
 
@@ -79,7 +79,7 @@ def _count_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
     The counts are one array per field: an array built by a function is evaluated once per row, where a struct of
     separate counts would be taken apart and its word splitting repeated for every use.
     """
-    split = docs.withColumns({f"_{f}_words": tokens(_text(f)) for f in FIELD_BOOSTS})
+    split = docs.withColumns({f"_{f}_words": tokens(field_text(f)) for f in FIELD_BOOSTS})
     wanted = F.array(*map(F.lit, terms))
     counts = {f"_{f}_len": F.size(f"_{f}_words") for f in FIELD_BOOSTS} | {
         f"_{f}_tf": F.transform(wanted, _occurrences(f"_{f}_words")) for f in FIELD_BOOSTS}
