@@ -488,6 +488,11 @@ def oracle_sql() -> dict[str, str]:
     out["q43_popular_products"] = _sql(f"""SELECT p.name, x.* FROM (SELECT * FROM ({popular}) ORDER BY popularity_score DESC, product_id LIMIT 20) x
         JOIN p USING (product_id)""", "popularity_score")
     out["x9_popularity_stream"] = _sql(popular, "popularity_score")
+    out["x10_interactions_stream"] = _sql("""SELECT user_id, product_id, n, events,
+            CAST(w AS DOUBLE) AS weight FROM (
+        SELECT user_id, product_id, count(*) AS n, sum(CASE event_type WHEN 'cart' THEN 3 WHEN 'like' THEN 4 WHEN 'purchase' THEN 5 ELSE 1 END) AS w
+        FROM ev GROUP BY 1, 2) JOIN (SELECT user_id, count(*) AS events, max(ts) AS last FROM ev GROUP BY 1) USING (user_id)
+        WHERE events >= 10 OR last + INTERVAL 1 DAY <= (SELECT max(ts) FROM ev) - INTERVAL 1 HOUR""", "weight")
     out["q44_behavior_log"] = out["x11_log_table_stream"] = _sql("""SELECT user_id, product_id, action_type, CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS VARCHAR) AS device_type,
         CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS user_agent, CAST(NULL AS VARCHAR) AS search_query, created_at FROM beh""", stamps="created_at")
     out["q45_purchase_orders"] = out["x11_orders_stream"] = _sql("""SELECT 'order_' || event_id AS order_id, user_id, ts AS order_date, total_amount, 'pending' AS status,

@@ -15,7 +15,7 @@ from storeglass.plans.search_index import SearchIndex
 from storeglass.sources import lake
 from storeglass.sources.retail import StarTables
 from storeglass.sources.schemas import STAR
-from storeglass.streaming import aggregates, jobs
+from storeglass.streaming import aggregates, interactions, jobs
 
 AS_OF = "2001-08-02"
 COHORT_AS_OF = "1996-07-01"
@@ -127,6 +127,15 @@ def derived_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, root: spark.read.parquet(f"{_derived(spark, root)}/{name}").drop("batch_id")
 
 
+def stream_interactions(spark: SparkSession, root: str) -> DataFrame:
+    """Sums kept in state and flushed every ten events of a user, or when a user has been idle for a day; every event
+    comes twice."""
+    place, events = _place(spark), _stream(spark, root)
+    flushed = interactions.flushed_interactions(events.unionByName(events), every=10, idle="1 day")
+    interactions.keep_flushed(flushed, f"{place}/out", f"{place}/state", partitions=8).awaitTermination()
+    return interactions.flushed_table(spark, f"{place}/out")
+
+
 def als_checks(t) -> DataFrame:
     """Figures of the factorisation that its input determines, and counts of broken rules, which are to be 0."""
     ratings = behavior.ratings(t.events)
@@ -335,6 +344,7 @@ def session_queries() -> dict[str, Callable]:
         "x5_recommender_stream": stream_ratings,
         "x8_counters_stream": stream_counters,
         "x9_popularity_stream": stream_popularity,
+        "x10_interactions_stream": stream_interactions,
         "x11_cart_stream": stream_cart,
         "x11_orders_stream": derived_table("orders"),
         "x11_items_stream": derived_table("order_items"),
