@@ -488,6 +488,11 @@ def oracle_sql() -> dict[str, str]:
     out["q43_popular_products"] = _sql(f"""SELECT p.name, x.* FROM (SELECT * FROM ({popular}) ORDER BY popularity_score DESC, product_id LIMIT 20) x
         JOIN p USING (product_id)""", "popularity_score")
     out["x9_popularity_stream"] = _sql(popular, "popularity_score")
+    out["q06_category_tree_fixpoint"] = out["q06_category_tree"]
+    out["a3_sketched_counts"] = _sql("""SELECT strftime(order_date, '%Y-%m') AS month, category_id, count(*) AS n_lines,
+        count(DISTINCT user_id) AS n_buyers, count(DISTINCT order_id) AS n_orders, count(DISTINCT product_id) AS n_products, true AS within
+        FROM ln GROUP BY 1, 2""")
+    out["a7_sketched_prices"] = _sql("SELECT category_id, count(*) AS lines, true AS within FROM ln GROUP BY 1")
     out["x10_interactions_stream"] = _sql("""SELECT user_id, product_id, n, events,
             CAST(w AS DOUBLE) AS weight FROM (
         SELECT user_id, product_id, count(*) AS n, sum(CASE event_type WHEN 'cart' THEN 3 WHEN 'like' THEN 4 WHEN 'purchase' THEN 5 ELSE 1 END) AS w

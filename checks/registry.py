@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from storeglass.functions.exprs import at, days_before, exact_round, padded_id, shorten, span
 from storeglass.operators import quality
 from storeglass.operators.materialize import shared_folder
-from storeglass.plans import behavior, charts, customers, etl, orders, recommend, sales, search, sqllog
+from storeglass.plans import behavior, charts, customers, etl, orders, recommend, sales, search, sketches, sqllog
 from storeglass.plans.search_index import SearchIndex
 from storeglass.sources import lake
 from storeglass.sources.retail import StarTables
 from storeglass.sources.schemas import STAR
+from storeglass.sources.versions import VersionedTable
 from storeglass.streaming import aggregates, interactions, jobs
 
 AS_OF = "2001-08-02"
@@ -136,6 +137,35 @@ def stream_interactions(spark: SparkSession, root: str) -> DataFrame:
     return interactions.flushed_table(spark, f"{place}/out")
 
 
+def _sketched(spark: SparkSession, root: str) -> tuple[StarTables, VersionedTable]:
+    """Daily sketches of all lines, of which the last years' days were loaded again."""
+    t, table = StarTables(spark, root), VersionedTable(spark, f"{_place(spark)}/sketches")
+    sketches.load_days(t, table)
+    sketches.load_days(t, table, "2000-01-01")
+    return t, table
+
+
+def sketched_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Exact distinct counts per month and category, and whether the stored sketches come within three per cent."""
+    t, table = _sketched(spark, root)
+    totals = sketches.category_totals(table, None, None, by_month=True)
+    both = sketches.exact_totals(t, None, None, by_month=True).join(totals, ["month", "category_id"], "left")
+    near = F.lit(True)
+    for name in sketches.DISTINCT:
+        near = near & (F.abs(F.col(name) - F.col(f"n_{name}")) <= 0.03 * F.col(f"n_{name}") + 1)
+    return both.select("month", "category_id", "n_lines", *(f"n_{n}" for n in sketches.DISTINCT),
+                       (near & (F.col("lines") == F.col("n_lines"))).alias("within"))
+
+
+def sketched_prices(spark: SparkSession, root: str) -> DataFrame:
+    """Lines per category, and whether the quartiles from stored sketches are within three per cent of their rank."""
+    t, table = _sketched(spark, root)
+    totals = sketches.category_totals(table, None, None)
+    errors = sketches.rank_errors(t, totals, None, None)
+    return totals.join(errors, "category_id").select(
+        "category_id", "lines", (F.greatest("error_p25", "error_p50", "error_p75") <= 0.03).alias("within"))
+
+
 def als_checks(t) -> DataFrame:
     """Figures of the factorisation that its input determines, and counts of broken rules, which are to be 0."""
     ratings = behavior.ratings(t.events)
@@ -222,6 +252,7 @@ def tables_queries() -> dict[str, Callable]:
         "q05_product_sales_profile": lambda t: s.product_sales_profile(t, AS_OF),
         "q05_product_sales_profile_dedup": lambda t: s.product_sales_profile(t, AS_OF, dedup_fanout=True),
         "q06_category_tree": lambda t: s.category_tree(t, AS_OF).drop("id_path"),
+        "q06_category_tree_fixpoint": lambda t: s.category_tree(t, AS_OF, method="fixpoint").drop("id_path"),
         "q07_cohort_retention": lambda t: c.cohort_retention(t, COHORT_AS_OF),
         "q08_string_profile": lambda t: c.string_profile(t, "1999"),
         "q09_behavior_counts": lambda t: b.behavior_counts(t, EVENTS_AS_OF),
@@ -338,6 +369,8 @@ def session_queries() -> dict[str, Callable]:
         "q18_latest_since_by_month": orders_by_month,
         "q41_index_products": indexed_search(),
         "q41_index_filtered": indexed_search(category="en", min_price=300, max_price=5000, page=2),
+        "a3_sketched_counts": sketched_counts,
+        "a7_sketched_prices": sketched_prices,
         "s5_daily_summary_upserted": summary_upserted,
         "s8_snapshot_served": snapshot_served,
         "x3_window_counts_stream": stream_windows,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeglass.operators.materialize import materialize
@@ -67,14 +69,21 @@ def group_positions(df: DataFrame, keys: list[str], order: list[Column], positio
     return matched.withColumn(position, F.col("_global") - F.col("_start") + 1).drop("_global", "_start")
 
 
-def probe_ranks(probes: DataFrame, facts: DataFrame, group: str | None, value: str, rank: str) -> DataFrame:
+def probe_ranks(
+    probes: DataFrame, facts: DataFrame, group: str | None, value: str, rank: str,
+    less: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """RANK() of a few probe values among all facts of their group, largest first, with one pass over the facts.
 
     Every fact only counts how many probe values it exceeds; these counters are summed map-side. The facts are neither
     sorted nor shuffled by group. `probes` must be bounded (a top-k result); returns one row per (group, probe value).
-    `value` may be a struct, which gives ROW_NUMBER() with a tie-break.
+    `value` may be a struct, which gives ROW_NUMBER() with a tie-break; `less(a, b)` is an order of its own for the values.
     """
-    cuts = F.sort_array(F.collect_set(value)).alias("_cuts")
+    if less is None:
+        less, cuts = (lambda a, b: a < b), F.sort_array(F.collect_set(value)).alias("_cuts")
+    else:
+        compare = lambda a, b: F.when(less(a, b), -1).when(less(b, a), 1).otherwise(0)
+        cuts = F.array_sort(F.collect_set(value), compare).alias("_cuts")
     if group is None:
         bounds = probes.agg(cuts)
         seen = facts.withColumn("_cuts", bounds.scalar())
@@ -83,7 +92,7 @@ def probe_ranks(probes: DataFrame, facts: DataFrame, group: str | None, value: s
         bounds = probes.groupBy(group).agg(cuts)
         seen = facts.join(F.broadcast(bounds), group)
         keys = [group]
-    passed = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    passed = F.size(F.filter("_cuts", lambda cut: less(cut, F.col(value))))
     counters = (
         seen.select(*keys, passed.alias("_above")).filter("_above > 0")
         .groupBy(*keys, "_above").agg(F.count("*").alias("_n"))

@@ -86,13 +86,12 @@ def top_customers(t, as_of, days: int = 90, limit: int = 20, dedup_fanout: bool
     over_shown = Window.orderBy(*best_first)
     shown = shown.withColumn("value_rank", F.row_number().over(over_shown)).withColumn(
         "_max", F.first("customer_value_score").over(over_shown))
-    # Users who spent more, and of those who spent the same the ones with a smaller id, whatever the id's type.
-    more = probe_ranks(shown.select("total_spent").distinct(), scored.select("total_spent"), None, "total_spent", "_more")
-    asked = F.broadcast(shown.select("total_spent", F.col("user_id").alias("_of")))  # `limit` rows
-    before = scored.select("user_id", "total_spent").join(asked, "total_spent").filter(F.col("user_id") < F.col("_of")).groupBy(
-        F.col("_of").alias("user_id")).agg(F.count("*").alias("_before"))
-    shown = shown.join(more, "total_spent").join(before, "user_id", "left").withColumn(
-        "spending_rank", F.col("_more") + F.coalesce("_before", F.lit(0)))
+    # Rank by spending, of those who spent the same the smaller id first, whatever the id's type: one pass.
+    spent = F.struct("total_spent", "user_id").alias("_spent")
+    below = lambda a, b: (a["total_spent"] < b["total_spent"]) | (
+        (a["total_spent"] == b["total_spent"]) & (a["user_id"] > b["user_id"]))
+    ranks = probe_ranks(shown.select(spent), scored.select(spent), None, "_spent", "spending_rank", below)
+    shown = shown.join(ranks.select(F.col("_spent.user_id").alias("user_id"), "spending_rank"), "user_id", "left")
     seen = F.col("last_order_date")
     recent = lambda n: seen >= at(days_before(as_of, n))
     shown = shown.select(

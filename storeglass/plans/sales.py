@@ -8,6 +8,7 @@ from storeglass.functions.exprs import (
     SOLD, SOLD_OR_COMPLETED, VOID, all_of, count_if, days_before, distinct_count, exact_round, growth_rate, month_of,
     months_before, span,
 )
+from storeglass.operators.hierarchy import walk_tree
 from storeglass.operators.lookup import enrich_rows, lookup_join
 from storeglass.operators.percentiles import group_percentiles
 from storeglass.operators.materialize import materialize
@@ -118,26 +119,14 @@ class _only_products:
         self.order_items = t.order_items.join(F.broadcast(few.select("product_id")), "product_id", "left_semi")
 
 
-def category_tree(t, as_of, months: int = 3, max_depth: int = 10) -> DataFrame:
-    """Statistics per node of the category tree with path, level and ranks in the level.
+def category_tree(t, as_of, months: int = 3, max_depth: int | None = 10, method: str = "recursive") -> DataFrame:
+    """Statistics per node of the category tree with path, level and ranks in the level. For a tree that is deep, very
+    large or may hold cycles, `method` is "fixpoint" (see `walk_tree`).
 
     A node counts the lines of recent orders and its products that were never ordered; a product with old orders only
     is left out, and a node left with nothing because of that as well.
     """
-    nodes = t.category_tree.sparkSession.sql(
-        """
-        WITH RECURSIVE walk (category_id, name, level, path, id_path) AS (
-            SELECT category_id, name, 1, name, array(category_id) FROM {tree} WHERE parent_category_id IS NULL
-            UNION ALL
-            SELECT child.category_id, child.name, walk.level + 1, concat(walk.path, ' > ', child.name),
-                   concat(walk.id_path, array(child.category_id))
-            FROM walk JOIN {tree} child ON child.parent_category_id = walk.category_id
-            WHERE walk.level < {depth}
-        )
-        SELECT * FROM walk
-        """,
-        tree=t.category_tree, depth=max_depth,
-    )
+    nodes = walk_tree(t.category_tree, "category_id", "parent_category_id", "name", max_depth, method)
     # Lines of an order without a date, or of no known order, count as well; the latter have no order and no user.
     orders = t.orders.select(F.col("order_id").alias("_order"), "user_id", "created_at")
     recent = t.order_items.select("order_id", "product_id", "quantity", "unit_price", "total_price").join(
@@ -420,8 +409,8 @@ def recommendation_score(t, pairs: DataFrame) -> DataFrame:
         F.col("_rating") * F.lit(0.4).cast("decimal(2,1)") + F.col("_popularity") * F.lit(0.4).cast("decimal(2,1)")
         + F.coalesce("_liking", F.lit(0).cast(fixed)) * F.lit(0.2).cast("decimal(2,1)")
     ).cast(fixed)
-    scored = lookup_join(pairs.select("user_id", "product_id"), parts, "product_id", spread_by="user_id", how="left")
-    return lookup_join(scored, liking, "user_id", spread_by="product_id", how="left").select(
+    scored = lookup_join(pairs.select("user_id", "product_id"), parts, "product_id", spread_by="user_id", how="left", sized_by=t.products)
+    return lookup_join(scored, liking, "user_id", spread_by="product_id", how="left", sized_by=t.users).select(
         "user_id", "product_id", F.greatest(total, F.lit(0).cast(fixed)).alias("score"))
 
 
