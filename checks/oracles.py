@@ -493,6 +493,23 @@ def oracle_sql() -> dict[str, str]:
         count(DISTINCT user_id) AS n_buyers, count(DISTINCT order_id) AS n_orders, count(DISTINCT product_id) AS n_products, true AS within
         FROM ln GROUP BY 1, 2""")
     out["a7_sketched_prices"] = _sql("SELECT category_id, count(*) AS lines, true AS within FROM ln GROUP BY 1")
+    out["q20_page_by_key_clustered"], out["q21_status_totals_clustered"] = out["q20_page_by_key"], out["q21_status_totals"]
+    out["q23_orders_by_status_clustered"] = out["q23_orders_by_status_since"]
+    out["s8_snapshot_swept"] = out["s8_snapshot_served"]
+    out["s6_json_sink"] = out["s7_keyed_documents"] = out["x12_lake_after_two_runs"] = _sql("""
+        SELECT order_id, user_name, status, CAST(items_count AS BIGINT) AS items_count, CAST(total_quantity AS BIGINT) AS total_quantity
+        FROM doc WHERE created_at < TIMESTAMP '1997-01-01' OR greatest(created_at, updated_at) >=
+            (SELECT max(greatest(created_at, updated_at)) FROM doc WHERE created_at < TIMESTAMP '1997-01-01')""")
+    out["s9_routed_events"] = _sql("SELECT event_type, count(*) AS n FROM ev GROUP BY 1 UNION ALL SELECT 'all', count(*) FROM ev")
+    sections = [("overview", "total_revenue"), ("categories", "revenue"), ("daily_trends", "daily_revenue"), ("top_products", "product_revenue")]
+    out["u1_dashboard_sections"] = _sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS section, count(*) AS entries, sum({figure}) AS total FROM ({out[f'q11_dashboard_{name}']})"
+        for name, figure in sections), "total")
+    out["a23_purchase_share"] = _sql("""SELECT user_id, 100.0 * p / nullif(p + v, 0) AS purchase_percent FROM (
+        SELECT user_id, CAST(count(*) FILTER (event_type = 'purchase') AS DOUBLE) AS p, count(*) FILTER (event_type = 'view') AS v
+        FROM ev GROUP BY 1)""", "purchase_percent")
+    out["g3_stamped_orders"] = _sql("""SELECT order_id, created_at, TIMESTAMP '2001-08-02' AS updated_at FROM o WHERE status = 'pending'""",
+                                    stamps="created_at updated_at")
     out["x10_interactions_stream"] = _sql("""SELECT user_id, product_id, n, events,
             CAST(w AS DOUBLE) AS weight FROM (
         SELECT user_id, product_id, count(*) AS n, sum(CASE event_type WHEN 'cart' THEN 3 WHEN 'like' THEN 4 WHEN 'purchase' THEN 5 ELSE 1 END) AS w

@@ -7,12 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from storeglass.functions.exprs import at, days_before, exact_round, padded_id, shorten, span
+from storeglass.functions.exprs import at, days_before, exact_round, padded_id, percent_of_sum, shorten, span
 from storeglass.operators import quality
 from storeglass.operators.materialize import shared_folder
 from storeglass.plans import behavior, charts, customers, etl, orders, recommend, sales, search, sketches, sqllog
 from storeglass.plans.search_index import SearchIndex
 from storeglass.sources import lake
+from storeglass.sources.clustered import ClusteredTable
 from storeglass.sources.retail import StarTables
 from storeglass.sources.schemas import STAR
 from storeglass.sources.versions import VersionedTable
@@ -166,6 +167,80 @@ def sketched_prices(spark: SparkSession, root: str) -> DataFrame:
         "category_id", "lines", (F.greatest("error_p25", "error_p50", "error_p75") <= 0.03).alias("within"))
 
 
+def _clustered(spark: SparkSession, root: str, *keys: str) -> tuple[StarTables, ClusteredTable]:
+    t, table = StarTables(spark, root), ClusteredTable(spark, f"{_place(spark)}/orders", list(keys))
+    table.write(t.orders, 16)
+    return t, table
+
+
+def clustered_page(spark: SparkSession, root: str) -> DataFrame:
+    _, table = _clustered(spark, root, "order_id")
+    return table.after(table.at((PAGE - 1) * 20).first()["order_id"], 20).select(*orders.PAGE_COLUMNS)
+
+
+def clustered_status_since(spark: SparkSession, root: str) -> DataFrame:
+    t, table = _clustered(spark, root, "status", "order_date", "order_id")
+    t.__dict__["orders"] = table.between(["shipped"], "2000-01-01")
+    return orders.orders_by_status_since(t, "shipped", "2000-01-01")
+
+
+def clustered_status_totals(spark: SparkSession, root: str) -> DataFrame:
+    t, table = _clustered(spark, root, "status", "order_date", "order_id")
+    t.__dict__["orders"] = table.between(["pending", "processing", "shipped", "delivered", "cancelled"], "1998-01-01", "1999-01-01")
+    return orders.status_totals(t, 1998)
+
+
+def etl_sink(read: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A sink of the order ETL after a run over the orders of early years and one over all orders."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        early, t, place = StarTables(spark, root), StarTables(spark, root), _place(spark)
+        early.__dict__["orders"] = t.orders.filter(span("created_at", None, "1997-01-01"))
+        jobs.run_orders_etl(early, spark, place, "2001-08-02 10:00:00", buckets=8, versioned=True)
+        jobs.run_orders_etl(t, spark, place, "2001-08-02 11:00:00", buckets=8, versioned=True)
+        return read(spark, place).select("order_id", "user_name", "status", F.col("items_count").cast("bigint").alias("items_count"),
+                                         F.col("total_quantity").cast("bigint").alias("total_quantity"))
+
+    return run
+
+
+def routed_events(spark: SparkSession, root: str) -> DataFrame:
+    """Events per type from the folders by type, and all of them from the common one."""
+    place = _place(spark)
+    for query in jobs.route_by_type(_stream(spark, root), place, f"{place}/state"):
+        query.awaitTermination()
+    by_type = spark.read.parquet(f"{place}/by_type").groupBy("event_type").agg(F.count("*").alias("n"))
+    return by_type.unionByName(spark.read.parquet(f"{place}/all").agg(F.lit("all").alias("event_type"), F.count("*").alias("n")))
+
+
+def dashboard_sections(t) -> DataFrame:
+    """Each section of the one JSON union, read back: entries and the sum of its main figure."""
+    total = {"overview": "total_revenue", "categories": "revenue", "daily_trends": "daily_revenue", "top_products": "product_revenue"}
+    entries = F.from_json(F.when(F.col("section") == "overview", F.concat(F.lit("["), "data", F.lit("]"))).otherwise(F.col("data")),
+                          "array<map<string,string>>")
+    rows = sales.dashboard_sections(t, AS_OF).select("section", F.explode(entries).alias("e"))
+    names = F.create_map(*(F.lit(x) for pair in total.items() for x in pair))
+    return rows.groupBy("section").agg(
+        F.count("*").alias("entries"), F.sum(F.element_at("e", F.element_at(names, F.col("section"))).cast("double")).alias("total"))
+
+
+def snapshot_swept(spark: SparkSession, root: str) -> DataFrame:
+    """The served snapshot after entries of users who never came back have expired and were swept away."""
+    t = StarTables(spark, root)
+    recs = recommend.affinity_recommendations(t.events)
+    payload = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", "score"))).alias("recs"))
+    path = f"{_place(spark)}/recommendations"
+    lake.write_snapshot(payload.withColumn("user_id", -1 - F.col("user_id")), path, "user_id", 3600, "2024-01-30", buckets=8)
+    lake.write_snapshot(payload.withColumn("recs", F.slice("recs", 1, 1)), path, "user_id", 7200, "2024-01-30 23:30:00", buckets=8)
+    lake.write_snapshot(payload, path, "user_id", 3600, EVENTS_AS_OF, buckets=8)
+    lake.sweep_snapshot(spark, path, EVENTS_AS_OF, keep=1)
+    # After the sweep nothing that has expired by then is stored, so that no time has to be named to leave it out.
+    flat = VersionedTable(spark, path).read().select("user_id", F.inline("recs"))
+    products = t.products.select("product_id", "name", "price")
+    return recommend.enrich(flat, products, 10, [F.asc("rank")], per="user_id").select(
+        "user_id", "product_id", "name", "price", F.col("score").alias("recommendation_score"))
+
+
 def als_checks(t) -> DataFrame:
     """Figures of the factorisation that its input determines, and counts of broken rules, which are to be 0."""
     ratings = behavior.ratings(t.events)
@@ -359,6 +434,11 @@ def tables_queries() -> dict[str, Callable]:
             "order_id", "created_at", "updated_at"),
         "f_padded_and_shortened": lambda t: t.products.select(
             "product_id", padded_id("product", "product_id").alias("padded"), shorten("description", 12).alias("short")),
+        "u1_dashboard_sections": dashboard_sections,
+        "a23_purchase_share": lambda t: b.user_counters(t.events).select(
+            "user_id", percent_of_sum("purchase_count", "view_count").alias("purchase_percent")),
+        "g3_stamped_orders": lambda t: quality.stamp_update(t.orders.filter("status = 'pending'"), AS_OF).select(
+            "order_id", "created_at", "updated_at"),
         "x2_window_counts": lambda t: aggregates.windowed_counts(t.events, delay=None, ts="ts"),
     }
 
@@ -369,6 +449,14 @@ def session_queries() -> dict[str, Callable]:
         "q18_latest_since_by_month": orders_by_month,
         "q41_index_products": indexed_search(),
         "q41_index_filtered": indexed_search(category="en", min_price=300, max_price=5000, page=2),
+        "q20_page_by_key_clustered": clustered_page,
+        "q21_status_totals_clustered": clustered_status_totals,
+        "q23_orders_by_status_clustered": clustered_status_since,
+        "s6_json_sink": etl_sink(lambda spark, place: spark.read.json(f"{place}/json")),
+        "s7_keyed_documents": etl_sink(lambda spark, place: VersionedTable(spark, f"{place}/documents").read()),
+        "x12_lake_after_two_runs": etl_sink(lambda spark, place: spark.read.parquet(f"{place}/lake")),
+        "s8_snapshot_swept": snapshot_swept,
+        "s9_routed_events": routed_events,
         "a3_sketched_counts": sketched_counts,
         "a7_sketched_prices": sketched_prices,
         "s5_daily_summary_upserted": summary_upserted,

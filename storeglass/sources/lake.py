@@ -6,11 +6,12 @@ One writer per path is assumed. Every write is idempotent: running it again with
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from storeglass.functions.exprs import at
 from storeglass.operators.materialize import materialize
+from storeglass.sources.versions import VersionedTable, keep_last
 
 
 def extract_since(df: DataFrame, hwm=None, at_mark: bool = False) -> DataFrame:
@@ -51,13 +52,6 @@ def read_if_exists(spark: SparkSession, path: str, format: str = "parquet", sche
         raise
 
 
-def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Latest row per key. A maximum combines map-side, so a key with very many versions does not end up in one sort."""
-    rest = [c for c in df.columns if c not in keys]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return latest.select(*keys, "_row.*").select(*df.columns)
-
-
 def upsert_partitioned(
     df: DataFrame, path: str, keys: list[str], order_col: str, partitions: list[str], format: str = "parquet"
 ) -> None:
@@ -95,16 +89,37 @@ def upsert_by_day(summary: DataFrame, path: str) -> None:
 
 
 def write_snapshot(df: DataFrame, path: str, key: str, ttl_seconds: int, as_of, buckets: int = 64) -> None:
-    """Latest payload per key with an expiry. Keys are hashed to buckets, only buckets with new keys are rewritten."""
+    """Latest payload per key with an expiry, in a versioned table. Keys are hashed to buckets; only buckets with new keys
+    are rewritten, and their expired entries go on the occasion."""
     stamped = df.withColumn("updated_at", at(as_of)).withColumn(
         "expires_at", F.col("updated_at") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
     bucketed = stamped.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    upsert_partitioned(bucketed, path, [key], "updated_at", ["bucket"])
+    VersionedTable(df.sparkSession, path).upsert(
+        bucketed, [key], "updated_at", ["bucket"], keep=F.col("expires_at") > at(as_of))
 
 
 def read_snapshot(spark: SparkSession, path: str, as_of) -> DataFrame:
     """Entries that have not expired."""
-    return spark.read.parquet(path).filter(F.col("expires_at") > at(as_of)).drop("bucket")
+    table = VersionedTable(spark, path).read()
+    if table is None:
+        raise ValueError(f"no snapshot at {path}")
+    return table.filter(F.col("expires_at") > at(as_of)).drop("bucket")
+
+
+def sweep_snapshot(spark: SparkSession, path: str, as_of, keep: int = 2) -> int:
+    """Rewrites the buckets that hold expired entries without them, as one file each, and removes the files of versions
+    before the last `keep`. Returns how many buckets were rewritten; buckets without expired entries are not touched."""
+    table = VersionedTable(spark, path)
+    rows = table.read()
+    if rows is None:
+        return 0
+    expired = F.col("expires_at") <= at(as_of)
+    stale = [row["bucket"] for row in rows.filter(expired).select("bucket").distinct().collect()]  # buckets at most
+    if stale:
+        left = table.read(where={"bucket": stale}).filter(~expired)
+        table.replace_partitions(left.repartition("bucket"), ["bucket"], 1, [(bucket,) for bucket in stale])
+    table.vacuum(keep)
+    return len(stale)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

@@ -16,14 +16,19 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from storeglass.sources.lake import keep_last
-
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
+def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Latest row per key. A maximum combines map-side, so a key with very many versions does not end up in one sort."""
+    rest = [c for c in df.columns if c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return latest.select(*keys, "_row.*").select(*df.columns)
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed the version first."""
 
@@ -86,9 +91,18 @@ class VersionedTable:
         schema = StructType.fromJson(manifest["schema"])
         if not folders:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(
+        return self._relation(schema, folders).select(*schema.names)
+
+    def _relation(self, schema: StructType, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(
             *(f"{self.path}/data/{folder}" for folder in folders))
-        return rows.select(*schema.names)
+
+    def file_ranges(self, columns: list[str], version: int) -> DataFrame:
+        """file, rows, low and high (structs of these columns, in their order) of every file of a version."""
+        manifest = self.manifest(version)
+        key = F.struct(*columns)
+        return self._relation(StructType.fromJson(manifest["schema"]), self._chosen(manifest, {})).groupBy(
+            F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), F.min(key).alias("low"), F.max(key).alias("high"))
 
     # --- writing -----------------------------------------------------------------------------------------------------
 
@@ -128,12 +142,14 @@ class VersionedTable:
         gone = {tuple(map(_text, values)) for values in touched}
         return self._write(df, partitions, lambda e: tuple(e["values"][:scope]) not in gone, self.manifest(base))
 
-    def upsert(self, df: DataFrame, keys: list[str], order_col: str, partitions: list[str], base: int | None = None) -> int | None:
+    def upsert(self, df: DataFrame, keys: list[str], order_col: str, partitions: list[str], base: int | None = None,
+               keep: Column | None = None) -> int | None:
         """Per key the row with the highest `order_col` stays, a new one on equality; a key lives in one partition.
 
         Only partitions that get rows are read and written anew (their values come to the driver, one row per folder
         to be written). What is read can't be overwritten, so nothing needs a checkpoint. None if there are no rows.
-        `base` is the version to build on, the newest one if none is named.
+        `base` is the version to build on, the newest one if none is named; rows that aren't to be kept (`keep`) are left
+        out of what is written.
         """
         touched = {tuple(row) for row in df.select(*(F.col(p).cast("string") for p in partitions)).distinct().collect()}
         if not touched:
@@ -144,6 +160,8 @@ class VersionedTable:
             if old:
                 marked = self._frame(before, old).select(*df.columns).withColumn("_new", F.lit(0)).unionByName(marked)
         merged = keep_last(marked, keys, [F.col(order_col), F.col("_new")]).drop("_new")
+        if keep is not None:
+            merged = merged.filter(keep)
         return self._write(merged, partitions, lambda e: tuple(e["values"]) not in touched, before)
 
     def vacuum(self, keep: int = 2, named: Iterable[int] | None = None) -> None:

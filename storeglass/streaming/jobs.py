@@ -13,6 +13,7 @@ from storeglass.plans import behavior, etl
 from storeglass.plans.recommend import affinity_from_pairs, als_recommendations, interactions
 from storeglass.plans.sqllog import parse_sql_log
 from storeglass.sources.lake import next_mark, read_if_exists, read_mark, upsert_partitioned, write_mark, write_snapshot
+from storeglass.sources.versions import VersionedTable
 
 
 def start(df: DataFrame, path: str, checkpoint: str, mode: str = "append", interval: str | None = None,
@@ -178,8 +179,9 @@ def rating_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None,
-                   compact_every: int = 100) -> StreamingQuery:
-    """Keeps the interaction sums and rewrites the affinity recommendations after every micro-batch."""
+                   compact_every: int = 100, versioned: bool = False) -> StreamingQuery:
+    """Keeps the interaction sums and rewrites the affinity recommendations after every micro-batch: in one folder, or as
+    a versioned table, whose readers always find a whole list."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -188,7 +190,13 @@ def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, i
             compact_sums(spark, path, batch_id)
         pairs = interaction_sums(spark, path)
         popular = pairs.groupBy("product_id").agg(F.sum("n").alias("n"))
-        affinity_from_pairs(pairs, popular, n).write.mode("overwrite").parquet(f"{path}/recommendations")
+        lists = affinity_from_pairs(pairs, popular, n)
+        if not versioned:
+            lists.write.mode("overwrite").parquet(f"{path}/recommendations")
+            return
+        table = VersionedTable(spark, f"{path}/recommendations")
+        table.replace(lists)
+        table.vacuum(keep=2)  # readers that began with the list before this one can end
 
     return each_batch(stream, process, checkpoint, interval)
 
@@ -213,13 +221,15 @@ def cart_table(spark: SparkSession, path: str) -> DataFrame:
         F.sum("quantity").alias("quantity"), F.max("added_at").alias("added_at"))
 
 
-def run_orders_etl(t, spark: SparkSession, path: str, as_of=None, buckets: int = 64) -> bool:
+def run_orders_etl(t, spark: SparkSession, path: str, as_of=None, buckets: int = 64, versioned: bool = False) -> bool:
     """One incremental run: documents since the stored mark into the lake (by load hour, parquet and JSON) and into the
-    keyed document table. False when there was nothing to do. The mark moves after the writes, so a failed run repeats.
+    keyed document table (with `versioned` one whose readers see whole runs only). False when there was nothing to do.
+    The mark moves after the writes, so a failed run repeats.
     """
     mark = read_mark(spark, f"{path}/mark")
     documents = etl.order_documents(t, mark, as_of, at_mark=True)
-    stored = read_if_exists(spark, f"{path}/documents")
+    keyed = VersionedTable(spark, f"{path}/documents") if versioned else None
+    stored = keyed.read() if keyed else read_if_exists(spark, f"{path}/documents")
     if mark is not None and stored is not None:
         # Orders with the very time of the mark are read again; those that were loaded in this state drop out.
         time = F.greatest("created_at", "updated_at").alias("_time")
@@ -231,8 +241,12 @@ def run_orders_etl(t, spark: SparkSession, path: str, as_of=None, buckets: int =
     hours = ["year", "month", "day", "hour"]
     upsert_partitioned(etl.sink_partitions(documents), f"{path}/lake", ["order_id"], "etl_timestamp", hours)
     upsert_partitioned(etl.sink_partitions(documents), f"{path}/json", ["order_id"], "etl_timestamp", hours, "json")
-    keyed = documents.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int"))
-    upsert_partitioned(keyed, f"{path}/documents", ["order_id"], "etl_timestamp", ["bucket"])
+    bucketed = documents.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int"))
+    if keyed:
+        keyed.upsert(bucketed, ["order_id"], "etl_timestamp", ["bucket"])
+        keyed.vacuum(keep=2)
+    else:
+        upsert_partitioned(bucketed, f"{path}/documents", ["order_id"], "etl_timestamp", ["bucket"])
     write_mark(spark, f"{path}/mark", next_mark(documents))
     return True
 
