@@ -517,7 +517,7 @@ def oracle_sql() -> dict[str, str]:
         WHERE events >= 10 OR last + INTERVAL 1 DAY <= (SELECT max(ts) FROM ev) - INTERVAL 1 HOUR""", "weight")
     out["q44_behavior_log"] = out["x11_log_table_stream"] = _sql("""SELECT user_id, product_id, action_type, CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS VARCHAR) AS device_type,
         CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS user_agent, CAST(NULL AS VARCHAR) AS search_query, created_at FROM beh""", stamps="created_at")
-    out["q45_purchase_orders"] = out["x11_orders_stream"] = _sql("""SELECT 'order_' || event_id AS order_id, user_id, ts AS order_date, total_amount, 'pending' AS status,
+    out["q45_purchase_orders"] = out["x11_orders_stream"] = out["x11_orders_stream_state"] = _sql("""SELECT 'order_' || event_id AS order_id, user_id, ts AS order_date, total_amount, 'pending' AS status,
         CAST(NULL AS VARCHAR) AS shipping_address, CAST(NULL AS VARCHAR) AS payment_method FROM ev WHERE event_type = 'purchase'""", "total_amount", "order_date")
     out["q45_purchase_items"] = out["x11_items_stream"] = _sql("""SELECT 'order_' || event_id AS order_id, product_id, quantity, total_amount / quantity AS unit_price,
         total_amount AS total_price FROM ev WHERE event_type = 'purchase'""", "unit_price total_price")

@@ -114,10 +114,10 @@ def stream_ratings(spark: SparkSession, root: str) -> DataFrame:
     return jobs.rating_table(spark, place)
 
 
-def _derived(spark: SparkSession, root: str) -> str:
+def _derived(spark: SparkSession, root: str, remember: str | None = None) -> str:
     """Tables derived from a stream that delivers every event twice."""
     place, events = _place(spark), _stream(spark, root)
-    jobs.derive_tables(events.unionByName(events), place, f"{place}/state").awaitTermination()
+    jobs.derive_tables(events.unionByName(events), place, f"{place}/state", remember=remember).awaitTermination()
     return place
 
 
@@ -125,8 +125,8 @@ def stream_cart(spark: SparkSession, root: str) -> DataFrame:
     return jobs.cart_table(spark, _derived(spark, root))
 
 
-def derived_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, root: spark.read.parquet(f"{_derived(spark, root)}/{name}").drop("batch_id")
+def derived_table(name: str, remember: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, root: spark.read.parquet(f"{_derived(spark, root, remember)}/{name}").drop("batch_id")
 
 
 def stream_interactions(spark: SparkSession, root: str) -> DataFrame:
@@ -470,6 +470,7 @@ def session_queries() -> dict[str, Callable]:
         "x11_orders_stream": derived_table("orders"),
         "x11_items_stream": derived_table("order_items"),
         "x11_log_table_stream": derived_table("user_behavior_log"),
+        "x11_orders_stream_state": derived_table("orders", "2 days"),
         "x13_log_stream": stream_log,
     }
 

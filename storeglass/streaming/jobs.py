@@ -201,11 +201,25 @@ def flush_affinity(stream: DataFrame, path: str, checkpoint: str, n: int = 10, i
     return each_batch(stream, process, checkpoint, interval)
 
 
-def derive_tables(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Events -> orders and lines, cart increments, behaviour log."""
+def once_in_state(stream: DataFrame, delay: str, ts: str = "timestamp") -> DataFrame:
+    """Each event once, by ids in the state store: a batch looks up its own ids only, whatever its days have seen, and
+    an id goes when the watermark has passed its event by `delay`. Events without an id cannot be told apart and pass."""
+    marked = stream.withWatermark(ts, delay)
+    named = marked.filter("event_id IS NOT NULL").dropDuplicatesWithinWatermark(["event_id"])
+    return named.unionByName(marked.filter("event_id IS NULL"))
+
+
+def derive_tables(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None,
+                  remember: str | None = None) -> StreamingQuery:
+    """Events -> orders and lines, cart increments, behaviour log.
+
+    Repeated deliveries are found among the stored ids of a batch's days, however late they come; with `remember` among
+    the ids in the state store instead, which are kept for that long: no batch then reads what earlier ones wrote.
+    """
+    stream = stream if remember is None else once_in_state(stream, remember)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = fresh_events(batch, path, batch_id).drop("event_date")
+        rows = fresh_events(batch, path, batch_id).drop("event_date") if remember is None else materialize(batch)
         orders, items = behavior.orders_from_purchases(rows)
         append_batch(orders, f"{path}/orders", batch_id)
         append_batch(items, f"{path}/order_items", batch_id)

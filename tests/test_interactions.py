@@ -106,3 +106,23 @@ def test_a_batch_that_dies_is_run_again(spark, tmp_path, monkeypatch, where):
     assert kept(spark, f"{tmp_path}/out") == sums(seen)  # readers see whole batches only
     run(stream, tmp_path)
     assert kept(spark, f"{tmp_path}/out") == sums(rows)
+
+
+def test_derived_tables_by_ids_in_state(spark, tmp_path):
+    """Same rows as with stored ids, over batches that repeat events, and no table of seen ids."""
+    from pyspark.sql import functions as F
+
+    from storeglass.streaming import jobs
+
+    rows = made(120, 5, 9, hours=0.5) + [(None, 1, 2, "purchase", START), (None, 1, 2, "purchase", START)]
+    stream = files(spark, tmp_path, [rows[:60], rows[30:100] + rows[120:], rows[90:120] + rows[:10]])
+    more = {"ts": F.to_timestamp_ntz(F.col("timestamp").cast("string")), "quantity": F.lit(1), "total_amount": F.lit(2.0)}
+    more |= {c: F.lit(None).cast("string") for c in ("session_id", "device", "ip_address", "user_agent", "search_query")}
+    made_of = {}
+    for name, remember in (("ids", None), ("state", "2 hours")):
+        place = str(tmp_path / name)
+        jobs.derive_tables(stream.withColumns(more), place, f"{place}/s", remember=remember).awaitTermination()
+        made_of[name] = {t: sorted(map(tuple, spark.read.parquet(f"{place}/{t}").drop("batch_id").collect()), key=repr)
+                         for t in ("orders", "order_items", "user_behavior_log")}
+    assert made_of["ids"] == made_of["state"] and len(made_of["state"]["user_behavior_log"]) == 122
+    assert (tmp_path / "ids" / "seen").exists() and not (tmp_path / "state" / "seen").exists()
