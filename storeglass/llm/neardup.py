@@ -23,9 +23,10 @@ and a group is what links connect. Links are found as follows.
 No group is collected: rows per task are nodes of at most SMALL documents, or blocks of at most BLOCK.
 
 Odd rows: null and empty texts have the empty set, size 0, and are linked with nothing; rows with a null doc_id are
-linked with nothing and kept (component_id null); rows of the same doc_id are one document, whose set is the union of
-theirs, and each of them is returned; an empty table gives an empty result; other columns are ignored by `components`
-and passed through by `filter_documents`, which keeps one row per kept doc_id.
+linked with nothing and kept (component_id null); rows that share a doc_id are documents of their own, each with its own
+set, links and row in the result, and the smallest doc_id of its component; an empty table gives an empty result; other
+columns are ignored by `groups` and passed through by `filter_documents`, which keeps one row of each component, and one
+of rows that are the same in doc_id and text.
 """
 
 from __future__ import annotations
@@ -399,11 +400,10 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def groups(docs: DataFrame, words: int, least: int, out_of: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every document (a stored table)."""
+def distinct_groups(docs: DataFrame, words: int, least: int, out_of: int) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every document of a table in which a doc_id stands for one text."""
     join = Join(words, least, out_of)
     rows = stored(join.measured(docs), "measured")
-    # Of the rows with one doc_id, the one with the smallest fingerprint stands for the document.
     best = F.min(F.struct("f1", "f2", "n", "sig")).alias("best")
     unique = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(best).select("doc_id", "best.*")
     copies = stored(
@@ -420,17 +420,52 @@ def groups(docs: DataFrame, words: int, least: int, out_of: int = 100) -> DataFr
     return known.unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """The doc_ids that several rows have (one pass over the ids)."""
+    return stored(texts(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(
+        F.col("doc_id").alias("_again")), "again")
+
+
+def keyed(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """docs with _key: doc_id, or a hash of doc_id and text where the doc_id is repeated; null without a doc_id."""
+    doc_id, text = docs["doc_id"].cast("long"), docs["text"]
+    return docs.join(small_or_not(again), doc_id == F.col("_again"), "left").withColumn(
+        "_key", F.when(F.col("_again").isNotNull(), F.xxhash64(doc_id, text.isNull(), text)).otherwise(doc_id))
+
+
+def keyed_groups(rows: DataFrame, words: int, least: int, out_of: int) -> DataFrame:
+    """_key, doc_id, n_shingles, component (a key) of the distinct keys of `keyed` rows."""
+    found = distinct_groups(rows.filter("_key IS NOT NULL").select(F.col("_key").alias("doc_id"), "text"), words, least, out_of)
+    found = stored(found.select(F.col("doc_id").alias("_key"), "n_shingles", F.col("component_id").alias("component")), "keyed")
+    return rows.filter("_key IS NOT NULL").select("_key", F.col("doc_id").cast("long").alias("doc_id")).distinct().join(found, "_key")
+
+
+def groups(docs: DataFrame, words: int, least: int, out_of: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    again = repeated_ids(docs)
+    if again.isEmpty():
+        return distinct_groups(docs, words, least, out_of)
+    rows = keyed(texts(docs), again)
+    named = stored(keyed_groups(rows, words, least, out_of), "named")
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = rows.filter("_key IS NOT NULL").select("_key").join(named, "_key").join(smallest, "component").select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return known.unionByName(distinct_groups(rows.filter("_key IS NULL").select("doc_id", "text"), words, least, out_of))
+
+
 def filter_documents(docs: DataFrame, words: int = 5, least: int = 80, out_of: int = 100) -> DataFrame:
-    """The documents that are kept, with all their columns; of repeated rows of a doc_id the first by text hash."""
-    dropped = stored(groups(docs, words, least, out_of).filter("NOT kept").select(F.col("doc_id").alias("_dropped")), "dropped")
-    kept = docs.join(small_or_not(dropped), docs["doc_id"] == F.col("_dropped"), "left_anti")
-    again = stored(docs.groupBy(docs["doc_id"].alias("_again")).count().filter("count > 1 AND _again IS NOT NULL")
-                   .select("_again"), "again")
+    """The documents that are kept, with all their columns: of each component the row with the smallest doc_id."""
+    again = repeated_ids(docs)
     if again.isEmpty():
-        return kept
-    again = small_or_not(again)
-    repeated = docs["doc_id"] == F.col("_again")
-    row = F.struct(*[kept[c] for c in kept.columns])
-    first = kept.join(again, repeated, "left_semi").select(row.alias("_row")).withColumn("_place", F.row_number().over(
-        Window.partitionBy("_row.doc_id").orderBy(F.xxhash64("_row.text"), F.xxhash64("_row"))))
-    return kept.join(again, repeated, "left_anti").unionByName(first.filter("_place = 1").select("_row.*"))
+        found = distinct_groups(docs, words, least, out_of)
+        dropped = stored(found.filter("NOT kept").select(F.col("doc_id").alias("_dropped")), "dropped")
+        return docs.join(small_or_not(dropped), docs["doc_id"] == F.col("_dropped"), "left_anti")
+    rows = keyed(docs, again)
+    named = stored(keyed_groups(rows.select("doc_id", "text", "_key"), words, least, out_of), "named")
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "_key"))["_key"].alias("_first"))
+    dropped = stored(named.join(first, "component").filter("_key <> _first").select(F.col("_key").alias("_dropped")), "dropped")
+    kept = rows.join(small_or_not(dropped), F.col("_key") == F.col("_dropped"), "left_anti")
+    # Rows of one key have the same doc_id and text; the first of an order over all columns stays.
+    same = Window.partitionBy("_key").orderBy(F.xxhash64(*(rows[c] for c in docs.columns)))
+    once = kept.filter("_again IS NOT NULL").withColumn("_place", F.row_number().over(same)).filter("_place = 1")
+    return kept.filter("_again IS NULL").select(*docs.columns).unionByName(once.select(*docs.columns))
