@@ -8,12 +8,14 @@ fits no task, and most of a corpus repeats nothing; so the suffix arrays get jus
    so any common string of WIDTH bytes has a chosen gram in common. They travel in packed columns by hash bucket, each
    task's copies of a fingerprint being merged first. Those in two or more documents are flagged, with the smallest
    document that has them: their source.
-3. A second pass looks the flagged fingerprints up in every document. The text around them is cut out as segments, which
+3. A second pass looks the flagged fingerprints up in every document. Only buckets that the first pass counted as crowded
+   are dealt over several tasks, each with the bucket's flags: one more copy for every CROWDED fingerprints of such a
+   bucket, so that the copies of flags grow with the corpus and no faster. The text around them is cut out as segments, which
    meet in a block per source: all documents that may share a string over a fingerprint have it there.
 4. In a block, suffixes are sorted in two stages (see `suffixes`), adjacent common prefixes give the strings that occur
    repeatedly, and starts in a document other than the smallest are removed. Blocks share buffers, large ones are dealt
    over several tasks, each of which gets the source's segments; strings that such a task leaves open are settled by
-   their hash across tasks.
+   their hash across tasks, of 128 bits like that of whole copies.
 5. Removed runs are joined with their documents.
 
 Tasks hold one buffer or one hash bucket. Texts are shuffled once (both joins of texts share the exchange).
@@ -40,6 +42,9 @@ GRAM = 24
 #: Bytes of text whose fingerprints are packed together, bytes of text per hash bucket, bytes of a suffix buffer, and
 #: bytes of segments from which a block is dealt over several tasks.
 PACK, PER_BUCKET, BUFFER, HOT = 4 << 20, 12 << 20, 1 << 20, 8 << 20
+#: Fingerprints that a task looks up for one bucket (over four times what PER_BUCKET bytes have on average, so that only
+#: fingerprints found very often make a bucket crowded), and buckets per partition where the session has fewer partitions.
+CROWDED, PER_TASK = 4_000_000, 4
 _CHUNK = 1 << 20
 
 
@@ -122,8 +127,8 @@ def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]
 
 
 def packed_prints(heads: DataFrame, buckets: int, places: bool) -> DataFrame:
-    """(bucket, prints, docs, places, ids, tags): columns of fingerprints. Without `places` each fingerprint comes once
-    per pack, with its smallest document and, in the top bit of `docs`, whether the pack has it in another one too."""
+    """(bucket, prints, docs, places, ids, tags, n): columns of n fingerprints. Without `places` each fingerprint comes
+    once per pack, with its smallest document and, in the top bit of `docs`, whether the pack has it in another one too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, tags, data in packs(batches):
@@ -132,6 +137,7 @@ def packed_prints(heads: DataFrame, buckets: int, places: bool) -> DataFrame:
             ranks = np.argsort(np.argsort(np.array(ids, np.int64), kind="stable"), kind="stable")
             docs = np.repeat(np.arange(len(ids)), [len(h) for h, _ in found])
             at = np.concatenate([p for _, p in found])
+            times = np.ones(len(prints), np.int64)
             if not places:
                 order = np.lexsort((ranks[docs], prints))
                 prints, docs = prints[order], docs[order]
@@ -140,30 +146,41 @@ def packed_prints(heads: DataFrame, buckets: int, places: bool) -> DataFrame:
                 own = np.array(ids, np.int64)
                 several = own[docs[starts]] != own[docs[ends]]
                 prints, docs, at = prints[starts], docs[starts] | (several.astype(np.int64) << 15), at[:0]
+                times = ends - starts + 1
             bucket = (prints % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            bucket = bucket[order]
+            cuts = np.nonzero(np.diff(bucket, prepend=-1))[0]
             rows = []
-            for b in np.nonzero(np.diff(cuts))[0]:
-                part = order[cuts[b] : cuts[b + 1]]
+            for low, high in zip(cuts, np.append(cuts, len(bucket))[1:], strict=True):
+                part = order[low:high]
                 used, doc = np.unique(docs[part] & 0x7FFF, return_inverse=True)
-                rows.append((int(b), six(prints[part]), (doc | (docs[part] & 0x8000)).astype("<u2").tobytes(),
+                rows.append((int(bucket[low]), six(prints[part]), (doc | (docs[part] & 0x8000)).astype("<u2").tobytes(),
                              at[part].astype("<u4").tobytes() if places else b"",
-                             np.array(ids, "<i8")[used].tobytes(), np.array(tags, "<i4")[used].tobytes() if places else b""))
+                             np.array(ids, "<i8")[used].tobytes(), np.array(tags, "<i4")[used].tobytes() if places else b"",
+                             int(times[part].sum())))
                 if len(rows) == 64:
                     yield pa.RecordBatch.from_pylist([dict(zip(_PACKED.names, r, strict=True)) for r in rows], _PACKED)
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist([dict(zip(_PACKED.names, r, strict=True)) for r in rows], _PACKED)
 
-    return heads.mapInArrow(tidy(run), "bucket long, prints binary, docs binary, places binary, ids binary, tags binary")
+    return heads.mapInArrow(tidy(run), "bucket long, prints binary, docs binary, places binary, ids binary, tags binary, n long")
 
 
-_PACKED = pa.schema([("bucket", pa.int64())] + [(k, pa.binary()) for k in ("prints", "docs", "places", "ids", "tags")])
+_PACKED = pa.schema([("bucket", pa.int64())] + [(k, pa.binary()) for k in ("prints", "docs", "places", "ids", "tags")] + [("n", pa.int64())])
 
 
-def flagged(packed: DataFrame) -> DataFrame:
-    """(bucket, prints, sources): the fingerprints of a bucket that two documents have, ascending, with their source."""
+def by_bucket(rows: DataFrame, buckets: int, *key: str) -> DataFrame:
+    """Rows dealt by key: over the session's partitions, or one for every PER_TASK buckets where those are more."""
+    parts = -(-buckets // PER_TASK)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *key) if parts > usual else rows.repartition(*key)
+
+
+def flagged(packed: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, prints, sources, n): the fingerprints of a bucket that two documents have, ascending, with their source,
+    and how many fingerprints the bucket has in all documents."""
 
     def merge(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         prints, docs, several = (np.concatenate(x) for x in zip(*held))
@@ -174,20 +191,22 @@ def flagged(packed: DataFrame) -> DataFrame:
         return prints[starts], docs[starts], np.logical_or.reduceat(several, starts) | (most > docs[starts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held, rows = None, [], 0
+        bucket, held, rows, times = None, [], 0, 0
 
         def result() -> Iterator[pa.RecordBatch]:
             if held:
                 prints, docs, several = merge(held)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([bucket], pa.int64()), pa.array([prints[several].tobytes()], pa.binary()),
-                     pa.array([docs[several].tobytes()], pa.binary())], names=["bucket", "prints", "sources"])
+                     pa.array([docs[several].tobytes()], pa.binary()), pa.array([times], pa.int64())],
+                    names=["bucket", "prints", "sources", "n"])
 
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != bucket:
                     yield from result()
-                    bucket, held, rows = row["bucket"], [], 0
+                    bucket, held, rows, times = row["bucket"], [], 0, 0
+                times += row["n"]
                 doc = np.frombuffer(row["docs"], "<u2")
                 held.append((unsix(row["prints"]), np.frombuffer(row["ids"], "<i8")[doc & 0x7FFF], doc >= 0x8000))
                 rows += len(doc)
@@ -196,18 +215,27 @@ def flagged(packed: DataFrame) -> DataFrame:
                     rows = -len(held[0][0])
         yield from result()
 
-    spread = packed.select("bucket", "prints", "docs", "ids").repartition("bucket").sortWithinPartitions("bucket")
-    return spread.mapInArrow(tidy(run), "bucket long, prints binary, sources binary")
+    spread = by_bucket(packed.select("bucket", "prints", "docs", "ids", "n"), buckets, "bucket").sortWithinPartitions("bucket")
+    return spread.mapInArrow(tidy(run), "bucket long, prints binary, sources binary, n long")
+
+
+def dealt_flags(flags: DataFrame) -> DataFrame:
+    """A row of flags per task of its bucket (salt): one, and another for every CROWDED fingerprints to be looked up."""
+    salts = F.floor(F.col("n") / CROWDED).cast("int")
+    return flags.select("bucket", "prints", "sources", F.explode(F.sequence(F.lit(0), salts)).alias("salt"))
 
 
-def lookups(packed: DataFrame, flags: DataFrame, salts: int) -> DataFrame:
+def lookups(packed: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, tag, place, source) of every flagged fingerprint of every document."""
-    salted = flags.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"),
+    crowded = stored(flags.filter(F.col("n") >= CROWDED).select(
+        "bucket", (1 + F.floor(F.col("n") / CROWDED)).cast("int").alias("salts")), "crowded")
+    packed = packed.join(small_or_not(crowded), "bucket", "left")
+    salted = dealt_flags(flags).select("bucket", "salt", F.lit(0).alias("kind"),
                           "prints", F.col("sources").alias("docs"), *[F.lit(b"").alias(k) for k in ("places", "ids", "tags")])
-    rows = packed.select("bucket", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"),
+    rows = packed.select("bucket", F.pmod(F.xxhash64("ids"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), F.lit(1).alias("kind"),
                          "prints", "docs", "places", "ids", "tags")
     key = ["bucket", "salt"]
-    spread = salted.unionByName(rows).repartition(*key).sortWithinPartitions(*key, "kind")
+    spread = by_bucket(salted.unionByName(rows), buckets, *key).sortWithinPartitions(*key, "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known, sources = None, None, None
@@ -261,7 +289,7 @@ _SEGMENTS = pa.schema([("source", pa.int64()), ("doc_id", pa.int64()), ("tag", p
 
 
 def repeated(dealt: DataFrame) -> DataFrame:
-    """(doc_id, tag, start, stop, open): removed runs, and in hot blocks the open strings by their hash.
+    """(doc_id, tag, start, stop, open, open2): removed runs, and in hot blocks the open strings by their hash of 128 bits.
 
     A partition is worked off in buffers that never part a block; documents of a buffer that meet by chance only show
     further true repeats.
@@ -289,13 +317,14 @@ def repeated(dealt: DataFrame) -> DataFrame:
             owner = np.searchsorted(ends, begin)
             open_at = np.nonzero(fits & ~found & np.repeat(hot & (docs != source), np.diff(np.append(-1, ends))))[0]
             open_owner = np.searchsorted(ends, open_at)
-            hashed = mix(*[w[open_at + k] for k in range(0, 48, 8)], w[open_at + 48] >> np.uint64(48)).view(np.int64) if len(open_at) else open_at
+            words = [w[open_at + k] for k in range(0, 48, 8)] + [w[open_at + 48] >> np.uint64(48)]
+            none, plain = np.zeros(len(begin), np.int64), np.arange(len(begin) + len(open_at)) < len(begin)
+            hashed = [pa.array(np.append(none, mix(*seed, *words).view(np.int64)), mask=plain) for seed in ((), (1,))]
             who = np.append(owner, open_owner)
             return pa.RecordBatch.from_arrays(
                 [pa.array(docs[who]), pa.array(tags[who]), pa.array(np.append(begin, open_at) + shift[who]),
-                 pa.array(np.append(stop, open_at + WIDTH) + shift[who]),
-                 pa.array(np.append(np.zeros(len(begin), np.int64), hashed), mask=np.arange(len(who)) < len(begin))],
-                names=["doc_id", "tag", "start", "stop", "open"])
+                 pa.array(np.append(stop, open_at + WIDTH) + shift[who]), *hashed],
+                names=["doc_id", "tag", "start", "stop", "open", "open2"])
 
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
@@ -309,7 +338,7 @@ def repeated(dealt: DataFrame) -> DataFrame:
             yield result()
 
     return spread.select("source", "doc_id", "tag", "start", "part", "hot", "salt").mapInArrow(
-        tidy(run), "doc_id long, tag int, start long, stop long, open long")
+        tidy(run), "doc_id long, tag int, start long, stop long, open long, open2 long")
 
 
 def dealt_blocks(parts: DataFrame) -> DataFrame:
@@ -328,15 +357,16 @@ def removed_runs(texts: DataFrame) -> DataFrame:
     heads = texts.filter("head").select("doc_id", "tag", "text")
     total = heads.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     buckets = max(32, -(-total // PER_BUCKET))
-    flags = stored(flagged(packed_prints(heads, buckets, False)), "flags")
-    found = stored(lookups(packed_prints(heads, buckets, True), flags, 1 + buckets // 256), "found")
+    flags = stored(flagged(packed_prints(heads, buckets, False), buckets), "flags")
+    found = stored(lookups(packed_prints(heads, buckets, True), flags, buckets), "found")
     key = ["doc_id", "tag"]
     places = found.groupBy(*key).agg(F.collect_list(F.struct("place", "source")).alias("found"))
     parts = stored(segments(heads.join(places, key).select(*key, "text", "found")), "segments")
     seen = stored(repeated(dealt_blocks(parts)), "repeats")
     left = seen.filter("open IS NOT NULL")
-    first = left.groupBy("open").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    across = left.join(first.drop("last"), "open").filter("doc_id > first")
+    hashes = ["open", "open2"]
+    first = left.groupBy(*hashes).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    across = left.join(first.drop("last"), hashes).filter("doc_id > first")
     runs = seen.filter("open IS NULL").select(*key, "start", "stop").unionByName(across.select(*key, "start", "stop"))
     return stored(runs.groupBy(*key).agg(F.collect_list(F.struct("start", "stop")).alias("runs")), "runs")
 
@@ -345,12 +375,12 @@ def prepared(docs: DataFrame, *others) -> DataFrame:
     """doc_id, tag (tells rows of one doc_id apart), text as bytes, head (first of its copies), copy (a later one)."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.hash(text).alias("tag"),
-                       F.encode(text, "UTF-8").alias("text"), F.xxhash64(text).alias("h"), *others)
-    slim = rows.filter("doc_id IS NOT NULL").groupBy("h", "tag", F.length("text").alias("size")).agg(
+                       F.encode(text, "UTF-8").alias("text"), F.xxhash64(text).alias("h"),
+                       F.xxhash64(F.lit(1), text).alias("h2"), *others)
+    slim = rows.filter("doc_id IS NOT NULL").groupBy("h", "h2", F.length("text").alias("size")).agg(
         F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    copies = stored(slim.filter("n > 1").select("h", F.col("tag").alias("_tag"), "size", "first"), "copies")
-    same = (rows["h"] == copies["h"]) & (rows["tag"] == copies["_tag"]) & (F.length(rows["text"]) == copies["size"])
-    named = rows.join(small_or_not(copies), same, "left").drop(copies["h"]).drop("_tag", "size")
+    copies = stored(slim.filter("n > 1").select("h", "h2", "size", "first"), "copies")
+    named = rows.withColumn("size", F.length("text")).join(small_or_not(copies), ["h", "h2", "size"], "left")
     known = F.col("doc_id").isNotNull()
     return named.select(
         "doc_id", "tag", "text", (known & F.coalesce(F.col("first") == F.col("doc_id"), F.lit(True))).alias("head"),
