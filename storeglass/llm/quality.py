@@ -192,10 +192,11 @@ def assess(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns. The counts are made twice, so that no text is stored or moved."""
+    """The documents that pass, with all their columns. Each text is counted once: rows that pass the base rule are
+    stored with their counts beside them, the sketches read the counts only, and the verdict is joined to the stored rows."""
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["lang"].cast("string").alias("lang"),
         docs["source"].cast("string").alias("source"), docs["text"].cast("string").alias("_text"))
-    slim = with_counts(rows.drop("_row"), "_text").drop("_text")
-    limits = stored(thresholds(sketches(slim)), "limits")
-    return judge(with_counts(rows, "_text"), limits).filter("kept").select("_row.*")
+    passed = stored(with_counts(rows, "_text").drop("_text").filter(~F.col("base_failed")), "passed")
+    limits = stored(thresholds(sketches(passed)), "limits")
+    return judge(passed, limits).filter("kept").select("_row.*")
