@@ -61,20 +61,22 @@ def bag(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """`table` has each bucket's contribution to every class: embeddings times softmax weights."""
+    """`table` has the embedding of each bucket, `weights` and `bias` the softmax over their mean. The table's size is
+    fixed by BITS and the width of the embeddings; only the softmax has a column for each class."""
 
     classes: tuple
     table: np.ndarray
+    weights: np.ndarray
     bias: np.ndarray
     scale: float
     bits: int
 
     def logits(self, text: str | None) -> np.ndarray:
-        total, n = np.zeros(len(self.classes)), 0
+        total, n = np.zeros(self.table.shape[1]), 0
         for buckets, _ in grams(text, self.bits):
             total += self.table[buckets].sum(axis=0, dtype=np.float64)
             n += len(buckets)
-        return self.scale * (total / max(n, 1) + self.bias)
+        return self.scale * (total / max(n, 1) @ self.weights + self.bias)
 
     def probabilities(self, text: str | None) -> np.ndarray:
         z = self.logits(text)
@@ -135,7 +137,7 @@ def train(
             slope = error.sum(axis=0)
             seen_bias += (slope**2).mean()
             bias -= (0.1 * step * slope / np.sqrt(seen_bias)).astype(np.float32)
-    model = Model(classes, table @ weights, bias, 1.0, bits)
+    model = Model(classes, table, weights, bias, 1.0, bits)
     checked = [k for k in range(len(bags)) if k not in set(fit)] or fit
     logits = np.array([model.logits(texts[k]) for k in checked])
 
@@ -145,7 +147,7 @@ def train(
         return float((np.log(np.exp(z - top[:, None]).sum(axis=1)) + top - z[np.arange(len(checked)), y[checked]]).mean())
 
     scale = min((2.0 ** (k / 4) for k in range(-16, 17)), key=loss)
-    return Model(classes, model.table, bias, scale, bits)
+    return Model(classes, table, weights, bias, scale, bits)
 
 
 @dataclass(frozen=True)
