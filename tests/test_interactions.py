@@ -126,3 +126,85 @@ def test_derived_tables_by_ids_in_state(spark, tmp_path):
                          for t in ("orders", "order_items", "user_behavior_log")}
     assert made_of["ids"] == made_of["state"] and len(made_of["state"]["user_behavior_log"]) == 122
     assert (tmp_path / "ids" / "seen").exists() and not (tmp_path / "state" / "seen").exists()
+
+
+def test_a_session_with_another_state_store_and_workers_without_this_package(tmp_path):
+    """The stream is started with the store it needs; its processor needs no module but Spark's own."""
+    import os
+    import subprocess
+    import sys
+
+    from storeglass import session
+
+    root = os.path.dirname(os.path.dirname(session.__file__))
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+sys.path.insert(0, {root!r})
+from storeglass.streaming import interactions
+stream = spark.readStream.schema("{EVENTS}").parquet("{tmp_path}/in")
+flushed = interactions.flushed_interactions(stream, 2, "9 hours")
+interactions.keep_flushed(flushed, "{tmp_path}/out", "{tmp_path}/state", partitions=2).awaitTermination()
+assert spark.conf.get(interactions.STATE_STORE).endswith("HDFSBackedStateStoreProvider")
+print("kept", [tuple(r) for r in interactions.flushed_table(spark, "{tmp_path}/out").collect()])
+"""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(tmp_path / "in")
+    rows = [("a", 1, 5, "cart", START), ("b", 1, 5, "view", START), ("b", 1, 5, "view", START), ("c", 2, 5, "view", START)]
+    names = ["event_id", "user_id", "product_id", "event_type", "timestamp"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)), strict=True)))
+    pq.write_table(table.set_column(4, "timestamp", table["timestamp"].cast(pa.timestamp("us", "UTC"))), tmp_path / "in" / "0.parquet")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "kept [(1, 5, 4.0, 2, 2)]" in done.stdout, done.stderr[-3000:]
+
+
+def test_calls_to_the_state_do_not_grow_with_events(spark):
+    """A user's events of a batch cost as many calls to the state store as one event."""
+    import pandas as pd
+
+    class State:
+        calls = 0
+
+        def __init__(self):
+            self.rows = []
+
+        def __getattr__(self, name):
+            State.calls += 1
+            return {"exists": lambda: bool(self.rows), "get": lambda: self.rows[0] if self.one else iter(self.rows),
+                    "clear": lambda: self.rows.clear(), "appendList": lambda rows: self.rows.extend(rows),
+                    "update": lambda row: self.rows.__setitem__(slice(None), [row])}[name]
+
+    class Handle:
+        def getListState(self, *_):
+            state = State()
+            state.one = False
+            return state
+
+        def getValueState(self, *_):
+            state = State()
+            state.one = True
+            return state
+
+        def registerTimer(self, _):
+            pass
+
+        deleteTimer = registerTimer
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    calls = []
+    for n in (1, 500):
+        processor, State.calls = interactions.Interactions(every=1, idle_ms=1), 0
+        processor.init(Handle())
+        events = pd.DataFrame({"event_id": [f"e{k}" for k in range(n)], "product_id": [k % 50 for k in range(n)], "weight": 1.0, "ms": 5})
+        for _ in range(2):  # the second time all events are repeated
+            lists = list(processor.handleInputRows((7,), iter([events]), Times()))
+        calls.append(State.calls)
+        assert not any(map(len, lists)) or n == 1 or len(lists[0]) == 50
+    assert calls[0] == calls[1]
