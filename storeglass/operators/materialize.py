@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +33,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later reads see the same rows in the same partitions, whatever is lost meanwhile."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows in compressed columns in the shared folder, for the length of a block: for rows that are large and read
+    more than once. Their files go when the block ends, however it ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -9,14 +9,18 @@ from storeglass.operators.lookup import lookup_join
 from storeglass.sources.lake import extract_since
 
 
-def order_documents(t, hwm=None, as_of=None, lists: bool = True, at_mark: bool = False) -> DataFrame:
+def order_documents(t, hwm=None, as_of=None, lists: bool = True, at_mark: bool = False, without: DataFrame | None = None) -> DataFrame:
     """Documents of the orders created or changed after the mark `hwm`; all orders without a mark.
 
     Names are joined to the product table before it meets the lines. Lines of unknown products and orders without any
     line or without a known user give no entry, as the inner joins of the extract want it. Without `lists` the item
-    lists are left out, which is enough for the charts.
+    lists are left out, which is enough for the charts. Orders whose order_id and latest time (`_time`) are in `without`
+    are left out before anything is joined to them.
     """
     orders = extract_since(t.orders, hwm, at_mark)
+    if without is not None:
+        time = F.greatest("created_at", "updated_at")
+        orders = orders.withColumn("_time", time).join(without, ["order_id", "_time"], "left_anti").drop("_time")
     products = t.products.select("product_id", F.col("name").alias("product_name"), "category_id", "brand_id")
     categories = t.categories.select("category_id", F.col("name").alias("category"))
     brands = t.brands.select("brand_id", F.col("name").alias("brand"))

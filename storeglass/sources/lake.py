@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from storeglass.functions.exprs import at
-from storeglass.operators.materialize import materialize
 from storeglass.sources.versions import VersionedTable, keep_last
 
 
@@ -53,14 +52,17 @@ def read_if_exists(spark: SparkSession, path: str, format: str = "parquet", sche
 
 
 def upsert_partitioned(
-    df: DataFrame, path: str, keys: list[str], order_col: str, partitions: list[str], format: str = "parquet"
+    df: DataFrame, path: str, keys: list[str], order_col: str, partitions: list[str], format: str = "parquet",
+    unique: bool = False,
 ) -> None:
     """Merge rows into a partitioned table: per key the row with the highest `order_col` stays, a new one on equality.
 
-    A key lives in one partition. Only partitions that get rows are read and rewritten (dynamic overwrite); the merged
-    rows are checkpointed first, so that nothing is overwritten while it is still needed. The touched partitions, one
-    row per folder that is about to be written, come to the driver: the values of each partition column prune the scan
-    (a flat IN, whatever their number), the broadcast of the rows leaves exactly those partitions.
+    A key lives in one partition. Only partitions that get rows are read and rewritten (dynamic overwrite, which puts
+    files aside and exchanges folders when all tasks have ended, so that nothing is overwritten while it is still read).
+    The touched partitions, one row per folder that is about to be written, come to the driver: the values of each
+    partition column prune the scan (a flat IN, whatever their number), the broadcast of the rows leaves exactly those
+    partitions. `unique` rows, one per key, are written as they are where those partitions hold none yet. JSON is text
+    of many times the size of its parquet, and is compressed as that is.
     """
     spark = df.sparkSession
     existing = read_if_exists(spark, path, format, df.schema)
@@ -77,10 +79,11 @@ def upsert_partitioned(
             same = same & F.col(name).eqNullSafe(F.col(f"_touched_{name}"))
         schema = StructType([StructField(f"_touched_{f.name}", f.dataType) for f in df.select(*partitions).schema])
         existing = existing.join(F.broadcast(spark.createDataFrame(touched, schema)), same, "left_semi")
-        marked = existing.select(*df.columns).withColumn("_new", F.lit(0)).unionByName(marked)
-    merged = keep_last(marked, keys, [F.col(order_col), F.col("_new")]).drop("_new")
-    writer = materialize(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    (writer.option("compression", "snappy") if format == "parquet" else writer).format(format).save(path)
+        if not unique or not existing.isEmpty():
+            marked, unique = existing.select(*df.columns).withColumn("_new", F.lit(0)).unionByName(marked), False
+    merged = df if unique else keep_last(marked, keys, [F.col(order_col), F.col("_new")]).drop("_new")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).option(
+        "compression", "snappy" if format == "parquet" else "gzip").format(format).save(path)
 
 
 def upsert_by_day(summary: DataFrame, path: str) -> None:

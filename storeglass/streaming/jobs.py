@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from storeglass.functions.exprs import at
-from storeglass.operators.materialize import materialize
+from storeglass.operators.materialize import materialize, stored
+from storeglass.operators.settings import settings
 from storeglass.plans import behavior, etl
 from storeglass.plans.recommend import affinity_from_pairs, als_recommendations, interactions
 from storeglass.plans.sqllog import parse_sql_log
 from storeglass.sources.lake import next_mark, read_if_exists, read_mark, upsert_partitioned, write_mark, write_snapshot
-from storeglass.sources.versions import VersionedTable
+from storeglass.sources.versions import VersionedTable, keep_last
+
+#: Shuffle files go with the write that needed them, not when the driver happens to collect its garbage.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def start(df: DataFrame, path: str, checkpoint: str, mode: str = "append", interval: str | None = None,
@@ -241,27 +245,30 @@ def run_orders_etl(t, spark: SparkSession, path: str, as_of=None, buckets: int =
     The mark moves after the writes, so a failed run repeats.
     """
     mark = read_mark(spark, f"{path}/mark")
-    documents = etl.order_documents(t, mark, as_of, at_mark=True)
     keyed = VersionedTable(spark, f"{path}/documents") if versioned else None
-    stored = keyed.read() if keyed else read_if_exists(spark, f"{path}/documents")
-    if mark is not None and stored is not None:
+    before = keyed.read() if keyed else read_if_exists(spark, f"{path}/documents")
+    loaded = None
+    if mark is not None and before is not None:
         # Orders with the very time of the mark are read again; those that were loaded in this state drop out.
         time = F.greatest("created_at", "updated_at").alias("_time")
-        loaded = stored.select("order_id", time).filter(F.col("_time") == at(mark))
-        documents = documents.withColumn("_time", time).join(loaded, ["order_id", "_time"], "left_anti").drop("_time")
-    documents = materialize(documents)
-    if documents.isEmpty():
-        return False
-    hours = ["year", "month", "day", "hour"]
-    upsert_partitioned(etl.sink_partitions(documents), f"{path}/lake", ["order_id"], "etl_timestamp", hours)
-    upsert_partitioned(etl.sink_partitions(documents), f"{path}/json", ["order_id"], "etl_timestamp", hours, "json")
-    bucketed = documents.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int"))
-    if keyed:
-        keyed.upsert(bucketed, ["order_id"], "etl_timestamp", ["bucket"])
-        keyed.vacuum(keep=2)
-    else:
-        upsert_partitioned(bucketed, f"{path}/documents", ["order_id"], "etl_timestamp", ["bucket"])
-    write_mark(spark, f"{path}/mark", next_mark(documents))
+        loaded = before.select("order_id", time).filter(F.col("_time") == at(mark))
+    documents = etl.order_documents(t, mark, as_of, at_mark=True, without=loaded)
+    # The documents come from a join by order_id, so that one per order takes no further shuffle.
+    latest = keep_last(documents, ["order_id"], [F.col("etl_timestamp")])
+    with settings(spark, DROP_SHUFFLES), stored(latest) as documents:
+        if documents.isEmpty():
+            return False
+        hours = ["year", "month", "day", "hour"]
+        dated = etl.sink_partitions(documents)
+        upsert_partitioned(dated, f"{path}/lake", ["order_id"], "etl_timestamp", hours, unique=True)
+        upsert_partitioned(dated, f"{path}/json", ["order_id"], "etl_timestamp", hours, "json", unique=True)
+        bucketed = documents.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int"))
+        if keyed:
+            keyed.upsert(bucketed, ["order_id"], "etl_timestamp", ["bucket"], unique=True)
+            keyed.vacuum(keep=2)
+        else:
+            upsert_partitioned(bucketed, f"{path}/documents", ["order_id"], "etl_timestamp", ["bucket"], unique=True)
+        write_mark(spark, f"{path}/mark", next_mark(documents))
     return True
 
 
