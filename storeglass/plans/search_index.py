@@ -38,9 +38,10 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 def postings_of(docs: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
     """Postings of products with their block and shard. A group is one term and field of one block: at most a block's
-    products, however common the term is."""
+    products, however common the term is. A block's products are brought together as texts, which are far smaller than
+    their words with ids; words are then counted and listed where they are."""
     fields = F.array(*(F.struct(F.lit(f).alias("field"), tokens(field_text(f)).alias("words")) for f in FIELD_BOOSTS))
-    words = docs.select("shard", "block", "product_id", F.explode(fields).alias("f")).select(
+    words = docs.repartition("shard", "block").select("shard", "block", "product_id", F.explode(fields).alias("f")).select(
         "shard", "block", "product_id", "f.field", F.size("f.words").alias("length"), F.explode("f.words").alias("term"))
     counts = words.groupBy("shard", "block", "product_id", "field", "length", "term").agg(F.count("*").cast("int").alias("tf"))
     entries = counts.groupBy("shard", "block", "term", "field").agg(
@@ -81,7 +82,8 @@ class SearchIndex:
             return
         # What an update that failed half-way wrote is not in the head's versions, so it is not built on.
         base = self.versions() or {}
-        now = {"docs": self.tables["docs"].upsert(placed, ["product_id"], "_at", ["shard"], base.get("docs"))}
+        now = {"docs": self.tables["docs"].upsert(
+            placed, ["shard", "block", "product_id"], "_at", ["shard"], base.get("docs"), together=["shard", "block"])}
         merged, touched = self.tables["docs"].read(now["docs"], {"shard": shards}), [(shard,) for shard in shards]
         postings = postings_of(merged, self.buckets).repartition("shard", "term_bucket").sortWithinPartitions(
             "shard", "term_bucket", "term", "field", "block")

@@ -143,13 +143,15 @@ class VersionedTable:
         return self._write(df, partitions, lambda e: tuple(e["values"][:scope]) not in gone, self.manifest(base))
 
     def upsert(self, df: DataFrame, keys: list[str], order_col: str, partitions: list[str], base: int | None = None,
-               keep: Column | None = None, unique: bool = False) -> int | None:
+               keep: Column | None = None, unique: bool = False, together: list[str] | None = None) -> int | None:
         """Per key the row with the highest `order_col` stays, a new one on equality; a key lives in one partition.
 
         Only partitions that get rows are read and written anew (their values come to the driver, one row per folder
         to be written). What is read can't be overwritten, so nothing needs a checkpoint. None if there are no rows.
         `base` is the version to build on, the newest one if none is named; rows that aren't to be kept (`keep`) are left
         out of what is written. `unique` rows, one per key, are written as they are where no row was before.
+        Rows alike in `together`, some of the keys, are merged and written by one task: a partition then has no more
+        files than it has of these.
         """
         touched = {tuple(row) for row in df.select(*(F.col(p).cast("string") for p in partitions)).distinct().collect()}
         if not touched:
@@ -160,6 +162,8 @@ class VersionedTable:
             if old:
                 unique = False
                 marked = self._frame(before, old).select(*df.columns).withColumn("_new", F.lit(0)).unionByName(marked)
+        if together and not unique:
+            marked = marked.repartition(*together)
         merged = df if unique else keep_last(marked, keys, [F.col(order_col), F.col("_new")]).drop("_new")
         if keep is not None:
             merged = merged.filter(keep)

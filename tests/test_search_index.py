@@ -105,3 +105,21 @@ def test_empty_index(spark, tmp_path):
     assert index.versions() is None
     index.update(spark.createDataFrame([(1, None, "", [], None, None, None)], DOCS))
     assert shown(index.search("word")) == [] and shown(index.search("")) == [(1, 1.0, 1)]
+
+
+def test_words_are_counted_and_listed_where_their_block_is(spark):
+    """Texts are brought together by block; no shuffle carries single words."""
+    from storeglass.plans.search_index import postings_of
+
+    docs = spark.createDataFrame(made(50), DOCS).selectExpr("*", "product_id div 16 AS block", "product_id div 128 AS shard")
+    plan = postings_of(docs, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_COL" in plan
+
+
+def test_files_of_a_shard_do_not_grow_with_tasks(spark, tmp_path):
+    """One file for each block at most, whatever the number of tasks that bring products."""
+    index = SearchIndex(spark, str(tmp_path), block=64, shard_blocks=2, buckets=2)
+    for _ in range(2):
+        index.update(spark.createDataFrame(made(512), DOCS).repartition(12))
+    files = index._read("docs", index.versions()).inputFiles()
+    assert len(files) <= 8
