@@ -245,3 +245,23 @@ def test_folded_parts_go(spark, tmp_path):
             jobs.compact_sums(spark, path, n)
     assert jobs.interaction_sums(spark, path).first().n == 6
     assert sorted(p.name for p in (tmp_path / "sums" / "rating_sums").glob("batch_id=*")) == ["batch_id=4", "batch_id=5"]
+
+
+def test_order_sinks_leave_no_second_copy(spark, tmp_path, star):
+    """Documents are stored for the run only, JSON is compressed, and a run over the same orders adds nothing."""
+    import glob
+
+    from storeglass.operators.materialize import shared_folder
+    from storeglass.streaming import jobs
+
+    checkpoints = lambda: set(glob.glob(f"{shared_folder(spark)}/*/rdd-*"))
+    before, key = checkpoints(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(key, None)
+    assert jobs.run_orders_etl(star, spark, str(tmp_path), "2001-08-02 10:00:00", buckets=2, versioned=True)
+    assert not jobs.run_orders_etl(star, spark, str(tmp_path), "2001-08-02 11:00:00", buckets=2, versioned=True)
+    assert not checkpoints() - before and not glob.glob(f"{shared_folder(spark)}/stored-*")
+    files = glob.glob(f"{tmp_path}/json/**/part-*", recursive=True)
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert spark.conf.get(key, None) == kept
+    rows = spark.read.json(f"{tmp_path}/json")
+    assert rows.count() == rows.select("order_id").distinct().count() == spark.read.parquet(f"{tmp_path}/lake").count()
